@@ -10,6 +10,7 @@ from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from corpusloom import rules
 from corpusloom.functions.columns import tokenize
@@ -34,7 +35,7 @@ def embed_with(
     batch_size: int = rules.EMBED_BATCH,
 ) -> DataFrame:
     """Vectors from a model. ``load`` runs once per task; its encoder gets ``batch_size`` texts at a time."""
-    schema = df.schema.add(out, "array<float>")
+    schema = StructType([*df.schema.fields, StructField(out, ArrayType(FloatType()))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load()

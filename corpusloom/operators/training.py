@@ -15,6 +15,7 @@ from corpusloom.functions.columns import binary, binary_label, hash_order, ratio
 from corpusloom.operators.chat import chat_text
 from corpusloom.operators.sampling import split_by_hash, split_exact
 from corpusloom.operators.stats import count_where
+from corpusloom.session import materialize
 
 
 def encoded(annotations: DataFrame) -> DataFrame:
@@ -107,7 +108,11 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 
 def train_and_evaluate(rows: DataFrame, path: str | None = None) -> Classifier:
-    """Fit on the train split, measure on the test split, save the model when a path is given."""
+    """Fit on the train split, measure on the test split, save the model when a path is given.
+
+    Fitting passes over the rows several times, so they are written once with the columns it needs.
+    """
+    rows = materialize(rows.select("text", "sentiment_encoded", "split"), "training")
     model = fit_classifier(rows.where("split = 'train'"))
     if path is not None:
         model.write().overwrite().save(path)

@@ -7,6 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
@@ -29,6 +31,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], Dat
 
     def register(fn: Callable[[Tables], DataFrame]) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
             return fn(Tables(spark, folder))
 
         _QUERIES[name] = run

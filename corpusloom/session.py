@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +52,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(shared_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, for the Python functions that run in tasks. Once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_corpusloom_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom.zip")
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for folder, _, files in os.walk(here):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    bundle.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    context._corpusloom_shipped = True

@@ -155,4 +155,6 @@ def dataset_card(rows: DataFrame, balance: DataFrame, model: str, created: str)
 
 
 def write_card(spark: SparkSession, card: str, path: str) -> None:
-    spark.createDataFrame([(card,)], "value string").coalesce(1).write.mode("overwrite").text(path, lineSep="")
+    """One text file; the writer ends it with the card's last newline."""
+    text = card.removesuffix("\n")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
