@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from corpusloom import rules
 from corpusloom.functions.columns import hash_order
 
-# Spark prunes groups before the shuffle (WindowGroupLimit) up to this many rows per group.
-GROUP_LIMIT = 1000
+# Up to this many rows per group Spark prunes groups before the shuffle.
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 # Leading hex digits of the md5 that name a rank bucket: 65,536 buckets, whatever the data size.
 BUCKET_DIGITS = 4
 
@@ -34,15 +34,16 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def top_k_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], k: int, salts: int = 32
+    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], k: int, salts: int = 256
 ) -> DataFrame:
     """First ``k`` rows per group in ``order``.
 
-    Up to GROUP_LIMIT rows per group Spark itself prunes before the shuffle. Above it, groups are
-    ranked in salted slices first, so no task ever sorts a whole hot group.
+    Spark itself prunes every partition to ``k`` rows per group before the shuffle, up to the
+    configured ``k``. Above it, groups are ranked in salted slices first, so that no task sorts a
+    whole hot group.
     """
     ordering = _ascending(order)
-    if k > GROUP_LIMIT:
+    if k > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
         salt = F.pmod(F.xxhash64(*ordering), F.lit(salts))
         slices = Window.partitionBy(*group, "_salt").orderBy(*ordering)
         df = (

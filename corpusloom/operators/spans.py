@@ -39,29 +39,42 @@ def paragraph_texts(text: Column, paragraph: Column, sectionheader: Column) -> C
     return F.transform(kept_spans(paragraph, sectionheader), lambda p: slice_text(text, p["start"], p["end"]))
 
 
+def _flat(full_text: DataFrame, *carry: str) -> DataFrame:
+    """The three parts of a document as plain columns, without documents that have no paragraphs."""
+    spans = "content.annotations"
+    annotated = full_text.where(F.col(f"{spans}.paragraph").isNotNull())
+    return annotated.select(
+        *carry,
+        F.col("content.text").alias("_text"),
+        F.col(f"{spans}.paragraph").alias("_spans"),
+        F.col(f"{spans}.sectionheader").alias("_headers"),
+    )
+
+
+def _cut(flat: DataFrame, *carry: str) -> DataFrame:
+    texts = paragraph_texts(F.col("_text"), F.col("_spans"), F.col("_headers"))
+    return flat.select(*carry, F.posexplode(texts).alias("par_id", "paragraph"))
+
+
 def cut_paragraphs(full_text: DataFrame, *carry: str) -> DataFrame:
     """One row per kept paragraph: the carried columns, ``par_id`` (0-based) and ``paragraph``.
 
     Texts are cut inside the document's row before it is exploded, so rows do not carry the whole
     document along. Documents without paragraph annotation give no row. There is no shuffle.
     """
-    spans = "content.annotations"
-    texts = paragraph_texts(F.col("content.text"), F.col(f"{spans}.paragraph"), F.col(f"{spans}.sectionheader"))
-    annotated = full_text.where(F.col(f"{spans}.paragraph").isNotNull())
-    return annotated.select(*carry, F.posexplode(texts).alias("par_id", "paragraph"))
+    return _cut(_flat(full_text, *carry), *carry)
 
 
 def extract_paragraphs(mapping: DataFrame, full_text: DataFrame, unique_documents: bool = False) -> DataFrame:
     """Tokenised paragraphs of the mapped papers: ``corpusid, venue, par_id, text``.
 
-    A paper absent from the full texts gives no row; one stored twice is read once.
+    A paper absent from the full texts gives no row; one stored twice is read once. All three steps
+    work by ``corpusid``, so full texts are shuffled once, and only those that are mapped.
     """
-    wanted = full_text.select("corpusid", "content").join(
-        mapping.select("corpusid").distinct(), "corpusid", "left_semi"
-    )
+    wanted = _flat(full_text, "corpusid").join(mapping.select("corpusid").distinct(), "corpusid", "left_semi")
     if not unique_documents:
-        wanted = keep_first(wanted, ["corpusid"], [F.xxhash64("content.text"), F.col("content.text")])
+        wanted = keep_first(wanted, ["corpusid"], [F.xxhash64("_text"), "_text", "_spans", "_headers"])
     joined = mapping.select("corpusid", "venue").join(wanted, "corpusid")
-    return cut_paragraphs(joined, "corpusid", "venue").select(
+    return _cut(joined, "corpusid", "venue").select(
         "corpusid", "venue", "par_id", tokenize(F.col("paragraph")).alias("text")
     )

@@ -466,7 +466,7 @@ def _load_length_model():
 )
 def predict_model(t: Tables) -> DataFrame:
     """A model function over batches; answers outside the label set become null."""
-    return predict_labels(t.documents.select("doc_id", "text"), _load_length_model).select("doc_id", "prediction")
+    return predict_labels(t.wide("documents", "doc_id", "text"), _load_length_model).select("doc_id", "prediction")
 
 
 @query(

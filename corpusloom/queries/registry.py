@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.session import ship_package
+from corpusloom.session import ship_package, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -16,7 +16,7 @@ _MODULES = ("labels", "texts", "corpus", "annotation", "venues")
 
 
 class Tables:
-    """Attribute access to the Parquet tables of a folder."""
+    """Attribute access to the Parquet tables of a folder; ``wide`` spreads a table of few splits."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
@@ -25,6 +25,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 
+    def wide(self, name: str, *columns: str) -> DataFrame:
+        return spread(getattr(self, name).select(*columns))
+
 
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Query]:
     """Register a function of the tables under a name, with its SQL if there is any."""

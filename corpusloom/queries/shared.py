@@ -101,7 +101,7 @@ PARAGRAPH_SQL = r"""
 
 def paragraphs(t: Tables) -> DataFrame:
     """Lines of the documents as tokenised paragraphs."""
-    lines = t.documents.select(
+    lines = t.wide("documents", "doc_id", "source", "text").select(
         F.col("doc_id").alias("corpusid"), F.col("source").alias("venue"), F.posexplode(F.split("text", "\n"))
     )
     return lines.select("corpusid", "venue", F.col("pos").alias("par_id"), tokenize(F.col("col")).alias("text"))

@@ -12,6 +12,7 @@ from corpusloom.operators.chat import chat_text, classification_prompt
 from corpusloom.operators.embed import embed_tfidf
 from corpusloom.queries.registry import Tables, query
 from corpusloom.queries.shared import BINARY_SQL, labelled
+from corpusloom.session import materialize
 
 # The test vectors hold no pair at the default threshold; this one splits them well.
 THRESHOLD = 0.35
@@ -29,13 +30,13 @@ def full_texts(t: Tables) -> DataFrame:
         F.array(F.lit(0)),
         lambda acc, line: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(line) + 1)),
     )
-    listed = F.transform(
-        lines, lambda line, i: F.struct(F.get(F.col("starts"), i).alias("start"), F.length(line).alias("n"))
-    )
-    located = t.documents.withColumn("starts", starts).withColumn("lines", listed)
-    ends = F.transform(
-        "lines", lambda s: F.struct(s["start"].alias("start"), (s["start"] + s["n"]).alias("end"))
+    # Zipped, the starts are computed once per document; inside a lambda, once per line.
+    ends = F.zip_with(
+        F.slice(starts, 1, F.size(lines)),
+        lines,
+        lambda start, line: F.struct(start.alias("start"), (start + F.length(line)).alias("end")),
     )
+    located = t.wide("documents", "doc_id", "source", "lang", "text")
     last = F.array(F.element_at(ends, -1))
     quoted = F.transform(
         last, lambda s: F.struct(s["start"].cast("string").alias("start"), s["end"].cast("string").alias("end"))
@@ -93,7 +94,7 @@ def extract(t: Tables) -> DataFrame:
     """,
 )
 def tokens(t: Tables) -> DataFrame:
-    found = t.documents.select("doc_id", C.tokenize(F.col("text")).alias("tokens"))
+    found = t.wide("documents", "doc_id", "text").select("doc_id", C.tokenize(F.col("text")).alias("tokens"))
     return found.select(
         "doc_id",
         F.size("tokens").cast("bigint").alias("n_tokens"),
@@ -123,7 +124,7 @@ def wordcount_filter(t: Tables) -> DataFrame:
     """,
 )
 def length_bucket(t: Tables) -> DataFrame:
-    grouped = training.grouped_by_length(t.documents)
+    grouped = training.grouped_by_length(t.wide("documents", "doc_id", "text"))
     return grouped.select(
         "doc_id",
         F.size("tokens").cast("bigint").alias("n_tokens"),
@@ -237,7 +238,7 @@ def semantic_dedup(t: Tables) -> DataFrame:
 @query("q_text_dedup")
 def text_dedup(t: Tables) -> DataFrame:
     """Texts embedded as tf-idf, then de-duplicated at the default threshold."""
-    unique = dedup.exact_dedup(t.documents, ["doc_id"])
-    vectors = embed_tfidf(unique.select("doc_id", "text")).select("doc_id", "embedding")
+    unique = materialize(dedup.exact_dedup(t.documents, ["doc_id"]), "unique")
+    vectors = materialize(embed_tfidf(unique.select("doc_id", "text")).select("doc_id", "embedding"), "embedded")
     kept = similarity.greedy_kept(vectors, "doc_id", "embedding", rules.SIMILARITY_THRESHOLD)
     return unique.join(kept, "doc_id", "left_semi").select("doc_id", "source", "text")

@@ -147,7 +147,8 @@ def _ranking_pages(t: Tables) -> DataFrame:
         F.col("c_mktsegment"),
         F.lit("</td></tr></table><table><tr><td>other</td></tr></table>"),
     )
-    return t.customer.select(F.col("c_custkey").alias("page_id"), F.col("c_mktsegment").alias("field"), html.alias("html"))
+    customers = t.wide("customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    return customers.select(F.col("c_custkey").alias("page_id"), F.col("c_mktsegment").alias("field"), html.alias("html"))
 
 
 @query(

@@ -54,6 +54,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few splits as many partitions as there are cores, for costly work per row.
+
+    A table of many files has enough splits already and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, for the Python functions that run in tasks. Once per application."""
     context = spark.sparkContext

@@ -13,7 +13,7 @@ _ROWS = "page_id bigint, table_idx int, row_idx int, is_header boolean, cells ar
 
 
 class _Tables(HTMLParser):
-    """Collects the cells of every table that is not inside another table's cell."""
+    """Collects the cells of every outer table; text of a table inside a cell belongs to that cell."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
