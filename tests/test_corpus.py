@@ -11,7 +11,7 @@ from corpusloom.operators import combine, dedup, embed, predict, rounds, similar
 from corpusloom.operators.similarity import Layout
 from corpusloom.plans import annotation, corpus
 
-SMALL = Layout(block_rows=16, sample_rows=64, max_pivots=8, leaders=8, hot_cell_rows=24, tail_rows=4)
+SMALL = Layout(block_rows=16, sample_rows=64, max_pivots=8, leaders=8, hot_cell_rows=24, tail_rows=4, matches=2)
 
 
 # ---- spans ----------------------------------------------------------------------------------
@@ -151,7 +151,7 @@ def test_similarity_at_the_threshold_removes(spark):
 
 
 @pytest.mark.parametrize("threshold", [0.85, 0.4])
-@pytest.mark.parametrize("layout", [Layout(), SMALL, Layout(block_rows=20, max_pivots=4, hot_cell_rows=10**9, tail_rows=0)])
+@pytest.mark.parametrize("layout", [Layout(), SMALL, Layout(block_rows=20, max_pivots=4, hot_cell_rows=10**9, tail_rows=0, matches=1)])
 def test_equals_the_sequential_walk_with_a_hot_group(spark, threshold, layout):
     random_state = np.random.default_rng(7)
     centres = random_state.normal(size=(12, 6))
@@ -195,6 +195,9 @@ def test_block_kernel_finds_the_earliest(seed, n):
     for i in range(n):
         earlier = [s for s, u in zip(seq, units) if s < seq[i] and u @ units[i] >= 0.7]
         assert found[i] == (min(earlier) if earlier else np.iinfo(np.int64).max)
+        for most in (1, 3):
+            rows, near = similarity._matches(units, seq, units, seq, 0.7, most)
+            assert sorted(near[rows == i]) == sorted(earlier)[:most]
 
 
 # ---- the de-duplication pipeline ------------------------------------------------------------
