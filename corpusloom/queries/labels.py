@@ -68,6 +68,15 @@ def harmonize_types(t: Tables) -> DataFrame:
     return harmonize.typed_statements(raw)
 
 
+def _observed(t: Tables) -> DataFrame:
+    raw = t.orders.select(
+        F.col("o_orderpriority").alias("Journal name"),
+        F.date_format("o_orderdate", "yyyy").alias("Year of publication"),
+        C.lookup(F.col("o_orderstatus"), {"F": "yes", "O": "no", "P": "Yes"}).alias("Is there an ASDC?"),
+    )
+    return harmonize.observed_flags(raw)
+
+
 @query(
     "q_harmonize_flags",
     """
@@ -80,12 +89,7 @@ def harmonize_types(t: Tables) -> DataFrame:
     """,
 )
 def harmonize_flags(t: Tables) -> DataFrame:
-    raw = t.orders.select(
-        F.col("o_orderpriority").alias("Journal name"),
-        F.date_format("o_orderdate", "yyyy").alias("Year of publication"),
-        C.lookup(F.col("o_orderstatus"), {"F": "yes", "O": "no", "P": "Yes"}).alias("Is there an ASDC?"),
-    )
-    return harmonize.observed_flags(raw)
+    return _observed(t)
 
 
 _MEDICAL = (
@@ -200,7 +204,7 @@ def cascade_b(t: Tables) -> DataFrame:
     """,
 )
 def branch_stats(t: Tables) -> DataFrame:
-    return stats.branch_stats(harmonize_flags(t.spark, t._folder))
+    return stats.branch_stats(_observed(t))
 
 
 _TOKENS = ("NA", "N/A", "none", "None", "nan", "", "NULL", " NA", "kept")

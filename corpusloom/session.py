@@ -15,6 +15,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(app: str = "corpusloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -42,9 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="corpusloom-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="corpusloom-")
+    return _LOCAL_DIRS[application]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

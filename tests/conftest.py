@@ -17,7 +17,6 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

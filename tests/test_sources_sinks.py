@@ -269,3 +269,28 @@ def test_task_payload_and_annotator_files(spark, tmp_path):
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "files"))
     assert back.groupBy("annotator").count().select("count").distinct().first()[0] == 3
     assert back.select("text").distinct().first()[0] == 'a "quoted"\ntext'
+
+
+def test_per_row_plans_work_on_a_stream(spark, tmp_path):
+    lines = [{"data": {"text": t}, "annotations": [{"result": [{"value": {"choices": [c]}}]}]} for t, c in [("a", "yes"), ("b", "no")]]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(folder / "tasks.json", "\n".join(json.dumps(line) for line in lines))
+    stream = spark.readStream.schema(schemas.TASK).json(str(folder))
+    query = (
+        harmonize.annotation_tasks(stream)
+        .writeStream.option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"), format="parquet")
+    )
+    query.awaitTermination(120)
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("text", "has_data_statement")) == [("a", "yes"), ("b", "no")]
+
+
+def test_lineage_is_cut_in_the_named_folder(spark, tmp_path):
+    from corpusloom.session import CHECKPOINT_CONF, materialize, shared_dir
+
+    stored = materialize(spark.range(3), "n")
+    assert stored.count() == 3 and "Range" not in stored._jdf.queryExecution().optimizedPlan().toString()
+    named = spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    assert named is None or shared_dir(spark) == named
