@@ -143,10 +143,14 @@ def take_shuffled(df: DataFrame, key: str, k: int, seed: int | str = rules.SEED,
 
 
 def draw_with_replacement(df: DataFrame, key: str, n: int, seed: int | str = rules.SEED) -> DataFrame:
-    """The distinct rows hit by ``n`` seeded draws with replacement, so at most ``n`` rows."""
+    """The distinct rows hit by ``n`` seeded draws with replacement, so at most ``n`` rows.
+
+    Only keys are ranked; whole rows are then picked by key.
+    """
     spark = df.sparkSession
     total = df.select(key).agg(F.count(F.lit(1))).scalar()
     number = F.conv(F.substring(hash_order(F.col("id"), f"{seed}|draw"), 1, 8), 16, 10).cast("bigint")
     draws = spark.range(n).select((F.pmod(number, total) + 1).alias("_rank")).distinct()
-    ranked = shuffled_rank(df, key, seed, rank="_rank")
-    return ranked.join(draws, "_rank", "left_semi").drop("_rank")
+    ranked = shuffled_rank(df.select(key), key, seed, rank="_rank")
+    drawn = ranked.join(draws, "_rank", "left_semi").select(key)
+    return df.join(drawn, key, "left_semi")
