@@ -2,7 +2,7 @@
 
 Iterative operators cut lineage by writing a table to the folder the cluster names in
 ``spark.checkpoint.dir``. A table is computed once, survives the loss of any executor, and is
-read back with column pruning.
+read back with column pruning. The tables are left for the folder's own retention.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(app: str = "corpusloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,16 +36,11 @@ def build_session(app: str = "corpusloom", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a local session may fall back to a temporary one."""
+    """The cluster's checkpoint folder, which the driver and every executor can reach."""
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_DIRS:
-        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="corpusloom-")
-    return _LOCAL_DIRS[application]
+    return configured
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
