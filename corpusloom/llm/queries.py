@@ -37,12 +37,35 @@ def op3_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from corpusloom.llm.decontamination import contamination
+
+    made = contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return made.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     from corpusloom.llm.packing import pack
 
     return pack(_table(spark, folder, "documents"), tokenizer_path())
 
 
+def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    from corpusloom.llm.ngram_join import ngram_components
+
+    return ngram_components(_table(spark, folder, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from corpusloom.llm.substring_dedup import remove_repeats
+
+    made = remove_repeats(_table(spark, folder, "documents"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_chat_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     from corpusloom.llm.chat_snapshots import maximal_chats
 
@@ -56,7 +79,7 @@ def op10_html_wrappers(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_warc_derivatives, op6_packing, op9_chat_snapshots, op10_html_wrappers)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_warc_derivatives, op4_decontamination, op6_packing, op7_ngram_join, op8_substring_dedup, op9_chat_snapshots, op10_html_wrappers)}
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -75,6 +98,47 @@ ORACLES = {
         select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
                sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
         from marked group by doc_id""",
+    "op4_decontamination": r"""
+        with doc as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents
+        ), item as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark
+        ), win as (
+            select distinct item_id, least(len(ws), 10) as n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') as w
+            from (select *, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) as i from item where len(ws) > 0)
+        ), place as (
+            select doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') as w
+            from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from doc, (select distinct n from win))
+        ), hit as (
+            select doc_id, item_id, p.n, i from place p join win using (w, n)
+        ), word as (
+            select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(range(i, i + n)) as k from (select distinct doc_id, n, i from hit)) group by 1
+        ), named as (
+            select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as items from (select distinct doc_id, item_id from hit) group by 1
+        )
+        select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from doc left join word using (doc_id) left join named using (doc_id)""",
+    "op8_substring_dedup": r"""
+        with doc as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+        ), place as (
+            select doc_id, i, array_to_string(ws[i:i + 19], ' ') as w
+            from (select *, unnest(range(1, len(ws) - 18)) as i from doc)
+        ), again as (
+            select doc_id, i from (select *, row_number() over (partition by w order by doc_id, i) as k from place) where k > 1
+        ), gone as (
+            select distinct doc_id, unnest(range(i, i + 20)) as k from again
+        ), word as (
+            select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as k from doc
+        ), kept as (
+            select doc_id, count(g.k) as n_removed, string_agg(w, ' ' order by k) filter (g.k is null) as t
+            from word left join gone g using (doc_id, k) group by 1
+        )
+        select doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+        from doc left join kept using (doc_id)""",
     "op9_chat_snapshots": """
         with said as (
             select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
