@@ -19,6 +19,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from corpusloom.llm.quality import THRESHOLD, held_out, score, train
+
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    scored = score(docs, train(docs, _table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from corpusloom.llm.line_dedup import dedup_lines
 
@@ -47,6 +55,12 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_pivot_search(spark: SparkSession, folder: str) -> DataFrame:
+    from corpusloom.llm.pivot_search import top_k
+
+    return top_k(_table(spark, folder, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     from corpusloom.llm.packing import pack
 
@@ -79,7 +93,7 @@ def op10_html_wrappers(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_warc_derivatives, op4_decontamination, op6_packing, op7_ngram_join, op8_substring_dedup, op9_chat_snapshots, op10_html_wrappers)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_line_dedup, op3_warc_derivatives, op4_decontamination, op5_pivot_search, op6_packing, op7_ngram_join, op8_substring_dedup, op9_chat_snapshots, op10_html_wrappers)}
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -121,6 +135,19 @@ ORACLES = {
         select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
         from doc left join word using (doc_id) left join named using (doc_id)""",
+    "op5_pivot_search": """
+        with part as (
+            select vec_id, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as i from embeddings
+        ), num as (
+            select vec_id, i, floor(1024 * x)::bigint as x from part
+            where vec_id not in (select vec_id from part where x is null or isnan(x) or isinf(x))
+        ), pair as (
+            select q.vec_id as query_id, v.vec_id, sum(q.x * v.x)::bigint as score
+            from num q join num v on q.i = v.i and q.vec_id <> v.vec_id where q.vec_id % 100 = 0 group by all
+        ), ranked as (
+            select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score from pair
+        )
+        select * from ranked where rank <= 10""",
     "op8_substring_dedup": r"""
         with doc as (
             select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
