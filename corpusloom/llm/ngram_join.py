@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -24,10 +24,12 @@ from corpusloom.session import materialize
 WORDS = 5
 PERCENT = 75
 #: N-grams are ordered by how often their hash's leading bits occur; the table of counts has this many bits.
-ORDER_BITS = 18
+ORDER_BITS = 20
 #: Sets in one prefix tree.
 TREE_SETS = 256
-_BLOCK = 4096
+#: A document is compared with its leader first if they share one in so many of its rare n-grams.
+_LED = 3
+_BLOCK = 16384
 
 
 def shingles(body: bytes, n: int) -> np.ndarray:
@@ -42,7 +44,7 @@ def shingles(body: bytes, n: int) -> np.ndarray:
 def common_last(hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """The hashes renamed so that their order is the global one, rare first: the leading bits give way to their rank."""
     low = np.uint64(64 - ORDER_BITS)
-    return np.sort(ranks[(hashes >> low).astype(np.int64)] << low | hashes & np.uint64((1 << int(low)) - 1))
+    return np.sort(ranks[(hashes >> low).astype(np.int64)].astype(np.uint64) << low | hashes & np.uint64((1 << int(low)) - 1))
 
 
 def needed(a: int, b: int, percent: int) -> int:
@@ -104,9 +106,7 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
                 own = shingles(body, n)
                 sizes.append(len(own))
                 digests.append(xxh3_128_digest(own.tobytes()))
-                total += np.bincount((own >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(total)) if len(own) > 50_000 else 0
-                if len(own) <= 50_000:
-                    np.add.at(total, (own >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
+                np.add.at(total, (own >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
         parts = [total[i : i + _BLOCK].tobytes() for i in range(0, len(total), _BLOCK)]
@@ -129,8 +129,8 @@ def _ranks(profiles: DataFrame) -> np.ndarray:
     counts = np.zeros(1 << ORDER_BITS, np.int64)
     for row in summed.collect():  # a table of 2 ** ORDER_BITS numbers whatever the input
         counts[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(bytes(row["counts"]), np.int64)
-    ranks = np.empty(len(counts), np.uint64)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
+    ranks = np.empty(len(counts), np.uint32)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint32)
     return ranks
 
 
@@ -167,8 +167,18 @@ def _sets(docs: DataFrame, n: int, ranks: Broadcast) -> DataFrame:
     return docs.mapInArrow(read, "doc long, held binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _least(size: Column, percent: int) -> Column:
+    """The fewest elements that a set of this size has in common with a similar one."""
+    return F.ceil(size * percent / 100)
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int, ranks: Broadcast) -> DataFrame:
     """The pairs (x, y) that are similar. The y's of an x go to prefix trees of bounded size, x walks each of them."""
+    pairs = materialize(pairs, "pairs")
+    involved = small(materialize(pairs.select(F.col("x").alias("doc")).union(pairs.select("y")).distinct(), "involved"))
+    sets = _sets(texts.join(involved, "doc", "left_semi"), n, ranks)
+    # Rows with one id are one document; the largest set stands for it, as in its size.
+    sets = materialize(sets.groupBy("doc").agg(F.max_by("held", F.length("held")).alias("held")), "sets")
     n_trees = F.ceil(F.col("n") / TREE_SETS).cast("int")
     counted = pairs.groupBy("x").agg(F.count("*").alias("n")).select("x", n_trees.alias("trees"))
     stored = pairs.join(counted, "x").select("x", F.col("y").alias("doc"), F.pmod(F.xxhash64("y"), F.col("trees")).cast("int").alias("tree"))
@@ -191,13 +201,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Two documents link when ``100 * intersection >= percent * union``. Exact, in these steps:
 
-    1. One pass reads each document's size and digest, and counts n-grams by 18 bits of their hash, which fixes
+    1. One pass reads each document's size and digest, and counts n-grams by ``ORDER_BITS`` bits of their hash, which fixes
        the global order (any order is right; this one has common n-grams last). Equal sets become one.
     2. The rarest n-grams of each document are counted; only those that two documents share are kept.
-    3. Each document is compared with the smallest document of every n-gram it shares, its leader. So a large
-       group of near copies costs a comparison per document and n-gram, not one per pair.
-    4. Pairs that share an n-gram and are still in different components are compared too, unless the places of
-       the n-gram or the sizes rule the similarity out.
+    3. Each document is compared with the smallest document of the n-grams it shares, its leader, if they share
+       many. So a large group of near copies costs a comparison or two per document, not one per pair.
+    4. The n-grams that pairs of still different components share are counted; the pairs are compared if that
+       number, the places of the n-grams and the sizes do not rule the similarity out.
 
     Sets are compared by 64-bit hashes of n-grams. Without words a document is alone. Rows with the same id
     are one document: they link with each other, and the largest set counts for ``n_shingles``. A null id is one
@@ -215,11 +225,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     originals = first.join(known.groupBy("digest").agg(F.max("size").alias("size")), "digest").select(F.col("first").alias("doc"), "size")
     shared = materialize(rare.join(met, "token").join(originals, "doc"), "shared")
 
-    involved = small(materialize(shared.select("doc").distinct(), "involved"))
-    sets = materialize(_sets(texts.join(involved, "doc", "left_semi"), n, ranks).join(originals.select("doc"), "doc", "left_semi").dropDuplicates(["doc"]), "sets")
-
-    led = shared.filter("doc <> leader").select(F.col("leader").alias("x"), F.col("doc").alias("y")).distinct()
-    links = materialize(_verified(led, sets, percent), "links")
+    # A first round that may miss links: it only saves the second one from comparing large groups of near copies.
+    led = shared.filter("doc <> leader").groupBy(F.col("leader").alias("x"), F.col("doc").alias("y")).agg(F.count("*").alias("n"), F.max("size").alias("size"))
+    led = led.filter(_LED * F.col("n") >= F.col("size") - _least(F.col("size"), percent)).select("x", "y")
+    links = materialize(_verified(texts, led, n, percent, ranks), "links")
     label = components(links)
 
     placed = materialize(shared.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")).drop("leader"), "placed")
@@ -227,15 +236,22 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     mixed = per_component.groupBy("token").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("token", "main")
     open_rows = placed.join(mixed, "token")
     minor = open_rows.filter("component <> main").select("token", *[F.col(c).alias(f"{c}_x") for c in ("doc", "size", "place", "component")])
-    room = F.least(F.col("size") - F.col("place"), F.col("size_x") - F.col("place_x"))
     may = (
         (F.col("component") != F.col("component_x"))
         & ((F.col("component") == F.col("main")) | (F.col("doc_x") < F.col("doc")))
         & (100 * F.least("size", "size_x") >= percent * F.greatest("size", "size_x"))
-        & ((100 + percent) * room >= percent * (F.col("size") + F.col("size_x")))
     )
-    across = minor.join(open_rows, "token").filter(may).select(F.col("doc_x").alias("x"), F.col("doc").alias("y")).distinct()
-    rest = _verified(materialize(across.join(links, ["x", "y"], "left_anti"), "across"), sets, percent)
+    ends = [F.struct(F.col(f"doc{e}").alias("doc"), F.col(f"size{e}").alias("size"), F.col(f"place{e}").alias("place")) for e in ("_x", "")]
+    swap = F.col("doc_x") > F.col("doc")
+    met_at = minor.join(open_rows, "token").filter(may).select(F.when(swap, ends[1]).otherwise(ends[0]).alias("a"), F.when(swap, ends[0]).otherwise(ends[1]).alias("b"))
+    across = met_at.groupBy(F.col("a.doc").alias("x"), F.col("b.doc").alias("y"), F.col("a.size").alias("size_x"), F.col("b.size").alias("size_y")).agg(
+        F.count("*").alias("n"), F.max("a.place").alias("place_x"), F.max("b.place").alias("place_y")
+    )
+    # All common n-grams up to the smaller of the two last rare ones are counted; of the others there are at most so many.
+    rest_x = F.least(_least(F.col("size_x"), percent) - 1, F.col("size_y") - F.col("place_y") - 1)
+    rest_y = F.least(_least(F.col("size_y"), percent) - 1, F.col("size_x") - F.col("place_x") - 1)
+    enough = (100 + percent) * (F.col("n") + F.greatest(rest_x, rest_y)) >= percent * (F.col("size_x") + F.col("size_y"))
+    rest = _verified(texts, across.filter(enough).select("x", "y").join(links, ["x", "y"], "left_anti"), n, percent, ranks)
     copies = known.join(first, "digest").filter("doc <> first").select(F.col("first").alias("x"), F.col("doc").alias("y"))
     final = components(links.unionByName(rest).unionByName(copies))
 
