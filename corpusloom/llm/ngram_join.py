@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -206,8 +206,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     2. The rarest n-grams of each document are counted; only those that two documents share are kept.
     3. Each document is compared with the smallest document of the n-grams it shares, its leader, if they share
        many. So a large group of near copies costs a comparison or two per document, not one per pair.
-    4. The n-grams that pairs of still different components share are counted; the pairs are compared if that
-       number, the places of the n-grams and the sizes do not rule the similarity out.
+    4. Pairs that share a rare n-gram and are still in different components are compared, unless the sizes, or too
+       few rare n-grams from that one on in a common order, rule the similarity out.
 
     Sets are compared by 64-bit hashes of n-grams. Without words a document is alone. Rows with the same id
     are one document: they link with each other, and the largest set counts for ``n_shingles``. A null id is one
@@ -234,24 +234,22 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     placed = materialize(shared.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")).drop("leader"), "placed")
     per_component = placed.groupBy("token", "component").agg(F.count("*").alias("n"))
     mixed = per_component.groupBy("token").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("token", "main")
-    open_rows = placed.join(mixed, "token")
-    minor = open_rows.filter("component <> main").select("token", *[F.col(c).alias(f"{c}_x") for c in ("doc", "size", "place", "component")])
+    # Of the n-grams that x and y share, the first in this order has all others after it in both documents.
+    mixed = mixed.join(per_component.groupBy("token").agg(F.sum("n").alias("n")), "token")
+    after = Window.partitionBy("doc").orderBy(F.desc("n"), F.desc("token"))
+    open_rows = placed.join(mixed, "token").withColumn("left", F.row_number().over(after)).drop("n", "place")
+    minor = open_rows.filter("component <> main").select("token", *[F.col(c).alias(f"{c}_x") for c in ("doc", "size", "left", "component")])
+    largest = F.greatest("size", "size_x")
+    # All but this many of the common n-grams can lie beyond the rare ones of one of the two.
+    common = F.ceil(percent * (F.col("size") + F.col("size_x")) / (100 + percent)) - (_least(largest, percent) - 1)
     may = (
         (F.col("component") != F.col("component_x"))
         & ((F.col("component") == F.col("main")) | (F.col("doc_x") < F.col("doc")))
-        & (100 * F.least("size", "size_x") >= percent * F.greatest("size", "size_x"))
+        & (100 * F.least("size", "size_x") >= percent * largest)
+        & (F.least("left", "left_x") >= common)
     )
-    ends = [F.struct(F.col(f"doc{e}").alias("doc"), F.col(f"size{e}").alias("size"), F.col(f"place{e}").alias("place")) for e in ("_x", "")]
-    swap = F.col("doc_x") > F.col("doc")
-    met_at = minor.join(open_rows, "token").filter(may).select(F.when(swap, ends[1]).otherwise(ends[0]).alias("a"), F.when(swap, ends[0]).otherwise(ends[1]).alias("b"))
-    across = met_at.groupBy(F.col("a.doc").alias("x"), F.col("b.doc").alias("y"), F.col("a.size").alias("size_x"), F.col("b.size").alias("size_y")).agg(
-        F.count("*").alias("n"), F.max("a.place").alias("place_x"), F.max("b.place").alias("place_y")
-    )
-    # All common n-grams up to the smaller of the two last rare ones are counted; of the others there are at most so many.
-    rest_x = F.least(_least(F.col("size_x"), percent) - 1, F.col("size_y") - F.col("place_y") - 1)
-    rest_y = F.least(_least(F.col("size_y"), percent) - 1, F.col("size_x") - F.col("place_x") - 1)
-    enough = (100 + percent) * (F.col("n") + F.greatest(rest_x, rest_y)) >= percent * (F.col("size_x") + F.col("size_y"))
-    rest = _verified(texts, across.filter(enough).select("x", "y").join(links, ["x", "y"], "left_anti"), n, percent, ranks)
+    across = minor.join(open_rows, "token").filter(may).select(F.least("doc_x", "doc").alias("x"), F.greatest("doc_x", "doc").alias("y")).distinct()
+    rest = _verified(texts, across.join(links, ["x", "y"], "left_anti"), n, percent, ranks)
     copies = known.join(first, "digest").filter("doc <> first").select(F.col("first").alias("x"), F.col("doc").alias("y"))
     final = components(links.unionByName(rest).unionByName(copies))
 
