@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.functions.columns import hash_order, nth_choice, prefix
-from corpusloom.operators.ranking import draw_with_replacement, shuffled_rank, top_k_per_group
+from corpusloom.operators.ranking import draw_with_replacement, shuffled_rank, take_shuffled, top_k_per_group
 from corpusloom.operators.stats import centred, count_where
 
 
@@ -23,11 +23,15 @@ def assign(
     annotators: Sequence[str],
     per_annotator: int = rules.TASKS_PER_ANNOTATOR,
     seed: int | str = rules.SEED,
+    strict: bool = True,
 ) -> DataFrame:
     """``per_annotator`` pool rows for each annotator in turn, no row for two; adds ``annotator``.
 
-    ``key`` must identify a row. Only the ranks that are assigned are ranked.
+    ``key`` must identify a row. Only the ranks that are assigned are ranked. A pool that is too small is
+    an error if ``strict``, else the last annotators get fewer rows.
     """
+    if strict:
+        pool = take_shuffled(pool, key, per_annotator * len(annotators), seed)
     ranked = shuffled_rank(pool, key, seed, rank="_rank", limit=per_annotator * len(annotators))
     turn = F.floor((F.col("_rank") - 1) / per_annotator).cast("int")
     return ranked.withColumn("annotator", F.get(_names(annotators), turn)).drop("_rank")
@@ -73,7 +77,12 @@ def assign_quadrants(
     y: str = "y",
     seed: int | str = rules.SEED,
 ) -> DataFrame:
-    """One layout quadrant per annotator, ``draws`` draws with replacement, so at most that many rows each."""
+    """One layout quadrant per annotator, ``draws`` draws with replacement, so at most that many rows each.
+
+    There are four quadrants; an empty one gives its annotator no rows.
+    """
+    if not 0 < len(annotators) <= 4:
+        raise ValueError(f"{len(annotators)} annotators for four quadrants")
     placed = with_quadrant(df, x, y)
     parts = [
         draw_with_replacement(placed.where(F.col("quadrant") == q), key, draws, f"{seed}|{q}").withColumn(
@@ -140,9 +149,9 @@ def build_tasks(
 ) -> DataFrame:
     """Nested task records from assigned rows; ``annotator_ids`` maps ``annotator`` to ``annotator_id``.
 
-    A row whose prediction is null gets a task without predictions.
+    A row whose prediction is null gets a task without predictions, one whose annotator has no id a null id.
     """
-    rows = assigned.join(annotator_ids, "annotator")
+    rows = assigned.join(annotator_ids, "annotator", "left")
     label = F.lit(None).cast("string") if prediction is None else F.col(prediction)
     return rows.select(
         "annotator",

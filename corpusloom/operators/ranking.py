@@ -149,8 +149,9 @@ def draw_with_replacement(df: DataFrame, key: str, n: int, seed: int | str = rul
     """
     spark = df.sparkSession
     total = df.select(key).agg(F.count(F.lit(1))).scalar()
-    number = F.conv(F.substring(hash_order(F.col("id"), f"{seed}|draw"), 1, 8), 16, 10).cast("bigint")
-    draws = spark.range(n).select((F.pmod(number, total) + 1).alias("_rank")).distinct()
+    # 15 hexadecimal digits: far more than there are rows, and still a bigint. An empty table has no row to draw.
+    number = F.conv(F.substring(hash_order(F.col("id"), f"{seed}|draw"), 1, 15), 16, 10).cast("bigint")
+    draws = spark.range(n).select((F.try_mod(number, total) + 1).alias("_rank")).distinct()
     ranked = shuffled_rank(df.select(key), key, seed, rank="_rank")
     drawn = ranked.join(draws, "_rank", "left_semi").select(key)
     return df.join(drawn, key, "left_semi")

@@ -81,7 +81,8 @@ def build_training_set(
     if day is None:
         day = spark.range(1).select(day_stamp()).first()[0]
     dedup = deduplicate(combined, ["source_rank", "row_key"], embed, threshold, semantic)
-    rows = training_rows(dedup.rows, "seq", seed=seed)
+    # Texts are distinct by now, so the split depends on the rows and the seed alone, not on partitions.
+    rows = training_rows(dedup.rows, "text", seed=seed)
     balance = split_balance(rows)
     path = sinks.write_splits(formatted(rows, model), root, model, day)
     metadata = sinks.run_metadata(balance, value_counts(rows, "source"), model, day)

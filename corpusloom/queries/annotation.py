@@ -106,6 +106,8 @@ def batch_overlap(t: Tables) -> DataFrame:
     return sampling.overlap_count(_batch(t, True), t.labels.select(F.col("doc_id").alias("corpusid")))
 
 
+_FOUR = (*ANNOTATORS, "fourth")
+_FOUR_SQL = "['" + "', '".join(_FOUR) + "']"
 _NAMES_SQL = "['" + "', '".join(ANNOTATORS) + "']"
 _ASSIGN_SQL = f"""
     select doc_id, source, {_NAMES_SQL}[cast(floor((r - 1) / {QUOTA}.0) as int) + 1] as annotator
@@ -152,7 +154,7 @@ def overlap(t: Tables) -> DataFrame:
     "q_draws",
     """
     with r as (select doc_id, source, row_number() over (order by md5('42|' || doc_id)) as rank from documents),
-         d as (select distinct ('0x' || substr(md5('42|draw|' || i), 1, 8))::bigint
+         d as (select distinct ('0x' || substr(md5('42|draw|' || i), 1, 15))::bigint
                       % (select count(*) from documents) + 1 as rank from range(300) as x(i))
     select doc_id, source from r where rank in (select rank from d)
     """,
@@ -229,13 +231,13 @@ def quadrant(t: Tables) -> DataFrame:
     f"""
     with p as (select *, row_number() over (partition by quadrant order by md5('42|' || quadrant || '|' || p_partkey))
                          as rank, count(*) over (partition by quadrant) as n from ({_QUADRANT_SQL})),
-         d as (select distinct q.quadrant, ('0x' || substr(md5('42|' || q.quadrant || '|draw|' || i), 1, 8))::bigint
+         d as (select distinct q.quadrant, ('0x' || substr(md5('42|' || q.quadrant || '|draw|' || i), 1, 15))::bigint
                       % q.n + 1 as rank
-               from (select distinct quadrant, n from p where quadrant < 3) q, range(50) as x(i))
-    select p_partkey, quadrant, {_NAMES_SQL}[quadrant + 1] as annotator from p join d using (quadrant, rank)
+               from (select distinct quadrant, n from p) q, range(50) as x(i))
+    select p_partkey, quadrant, {_FOUR_SQL}[quadrant + 1] as annotator from p join d using (quadrant, rank)
     """,
 )
 def quadrant_assign(t: Tables) -> DataFrame:
-    return assign.assign_quadrants(_layout(t), "p_partkey", ANNOTATORS, 50).select(
+    return assign.assign_quadrants(_layout(t), "p_partkey", _FOUR, 50).select(
         "p_partkey", "quadrant", "annotator"
     )

@@ -294,3 +294,31 @@ def test_lineage_is_cut_in_the_named_folder(spark, tmp_path):
     assert stored.count() == 3 and "Range" not in stored._jdf.queryExecution().optimizedPlan().toString()
     named = spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     assert named is None or shared_dir(spark) == named
+
+
+def test_first_table_with_text_spans_hidden_rows_and_heads(spark):
+    page = (
+        "<table></table><table><thead><tr><td>h1</td><td>h2</td></tr></thead>"
+        "<tr><td colspan=2>wide</td><td rowspan=2>tall<script>var x=1</script></td></tr>"
+        "<tr><td>a</td><td>b</td></tr><tr style='display: none'><td>no</td></tr><tr><th>x</th><th>y</th></tr></table>"
+    )
+    from corpusloom.sources.html import first_table, html_table_rows
+
+    pages = spark.createDataFrame([(1, page)], "page_id bigint, html string")
+    rows = [(r["is_header"], r["cells"]) for r in html_table_rows(pages).orderBy("table_idx", "row_idx").collect()]
+    assert rows == [(True, ["h1", "h2"]), (False, ["wide", "wide", "tall"]), (False, ["a", "b", "tall"]), (False, ["x", "y"])]
+    assert first_table(pages).count() == 3
+
+
+def test_empty_pool_and_too_many_annotators(spark):
+    import pytest
+
+    from corpusloom.operators.assign import assign, assign_quadrants
+    from corpusloom.operators.ranking import draw_with_replacement
+
+    assert draw_with_replacement(spark.range(0), "id", 5).count() == 0
+    with pytest.raises(ValueError):
+        assign_quadrants(spark.range(4).selectExpr("id", "1.0 as x", "1.0 as y"), "id", list("abcde"))
+    with pytest.raises(Exception, match="the pool is smaller"):
+        assign(spark.range(5), "id", ["a", "b"], 3).count()
+    assert assign(spark.range(5), "id", ["a", "b"], 3, strict=False).count() == 5
