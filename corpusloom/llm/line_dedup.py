@@ -52,7 +52,8 @@ def dedup_lines(
 
     lines = materialize(keyed_texts(docs, id_col, text_col).mapInArrow(keys, "line binary, doc long"), "lines")
     counted = lines.groupBy("line").agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper"))
-    repeated = counted.filter(F.col("n") >= min_docs).select("line", "keeper")
+    # Written, so that the join below is of two plain shuffles, whose large partitions can be split.
+    repeated = materialize(counted.filter(F.col("n") >= min_docs).select("line", "keeper"), "repeated")
     doc, lost = fresh(docs, "_doc"), fresh(docs, "_lost")
     losses = (
         lines.join(repeated, "line")

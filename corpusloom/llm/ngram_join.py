@@ -221,7 +221,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = known.filter("size > 0").groupBy("digest").agg(F.min("doc").alias("first"))
 
     rare = _rare(texts, n, percent, ranks)
-    met = rare.groupBy("token").agg(F.min("doc").alias("leader"), F.max("doc").alias("last")).filter("leader <> last").select("token", "leader")
+    # Written, so that the join below is of two plain shuffles, whose large partitions can be split.
+    met = rare.groupBy("token").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"))
+    met = materialize(met.filter("leader <> last").select("token", "leader"), "met")
     originals = first.join(known.groupBy("digest").agg(F.max("size").alias("size")), "digest").select(F.col("first").alias("doc"), "size")
     shared = materialize(rare.join(met, "token").join(originals, "doc"), "shared")
 

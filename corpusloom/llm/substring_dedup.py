@@ -89,7 +89,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "doc", "row", "place"])
 
     marks = alone.mapInArrow(halves, "anchor long, doc long, row long, place int")
-    common = marks.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # Written, so that the join below is of two plain shuffles, whose large partitions can be split.
+    common = materialize(marks.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "common")
     hit = materialize(marks.join(common, "anchor").groupBy("doc", "row").agg(F.collect_list("place").alias("places")), "anchors")
 
     def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
