@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -21,17 +23,24 @@ OPEN_WINDOWS = 16
 END_ID = 1
 #: Partitions whose leftovers meet in one task.
 MERGED_PARTITIONS = 64
-#: Words whose ids a task remembers.
-REMEMBERED = 300_000
+#: Words, and pieces of words, whose ids a worker process remembers.
+REMEMBERED = 500_000
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIMPLE = re.compile(rf"[{_LETTERS}!-&(-/:-@\[-`{{-~]+")
+_PIECES = re.compile(rf"[{_LETTERS}]+|[^{_LETTERS}]+")
+
+
 class WordIds:
-    """Token ids of a text as bytes of 32-bit little-endian numbers, by remembered words.
+    """Token ids of a text as bytes of 32-bit little-endian numbers, by remembered words and pieces of words.
 
     Right for tokenizers whose tokens never cross ASCII white space, and drop it: then the ids of a
-    text are those of its words, one after the other.
+    text are those of its words, one after the other. This one also ignores case and parts letters from
+    other signs, so words of plain letters and signs are put together from their pieces, of which there are
+    fewer. Digits, apostrophes, special tokens and everything beyond Latin-1 letters go to the tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -39,16 +48,32 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
+        self._words: dict[bytes, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
         words = text.split()
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        new = list(set(words).difference(self._known))
-        for word, made in zip(new, self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            self._known[word] = np.array(made.ids, "<u4").tobytes()
-        return b"".join(map(self._known.__getitem__, words))
+        if len(self._words) > REMEMBERED:
+            self._words.clear()
+        parts = {}
+        for word in set(words).difference(self._words):
+            shown = word.decode()
+            parts[word] = _PIECES.findall(shown.lower()) if _SIMPLE.fullmatch(shown) and "<|" not in shown else [shown]
+        needed = {p for own in parts.values() for p in own}
+        if len(self._pieces) > REMEMBERED:
+            self._pieces.clear()
+        new = [p for p in needed if p not in self._pieces]
+        for piece, made in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
+            self._pieces[piece] = np.array(made.ids, "<u4").tobytes()
+        for word, own in parts.items():
+            self._words[word] = self._pieces[own[0]] if len(own) == 1 else b"".join([self._pieces[p] for p in own])
+        return b"".join(map(self._words.__getitem__, words))
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """The tokenizer of a worker process: tasks that follow each other in it share what it remembers."""
+    return WordIds(path)
 
 
 class Packer:
@@ -136,7 +161,7 @@ def pack(
 
     def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        words, packer, number = WordIds(tokenizer), Packer(length, n_open), part << 32
+        words, packer, number = word_ids(tokenizer), Packer(length, n_open), part << 32
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for doc, body in zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist()):
