@@ -29,6 +29,8 @@ ORDER_BITS = 20
 TREE_SETS = 256
 #: A document is compared with its leader first if they share one in so many of its rare n-grams.
 _LED = 3
+#: Members of a component that the documents outside it meet in a round, and the rounds before all others are met.
+_MEMBERS, _TURNS = 8, 2
 _BLOCK = 16384
 
 
@@ -172,6 +174,35 @@ def _least(size: Column, percent: int) -> Column:
     return F.ceil(size * percent / 100)
 
 
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """``rows`` with the component of each document, its own id if no link holds it."""
+    return rows.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of n-grams that several components hold, with the largest component as ``main`` and the rows of the n-gram as ``n``."""
+    per_component = rows.groupBy("token", "component").agg(F.count("*").alias("rows"))
+    mixed = per_component.groupBy("token").agg(F.max_by("component", "rows").alias("main"), F.sum("rows").alias("n"), F.count("*").alias("parts"))
+    return rows.join(mixed.filter("parts > 1").drop("parts"), "token")
+
+
+def _may(percent: int) -> Column:
+    """Whether two documents of different components can be similar, by their sizes and the rare n-grams left from this one on."""
+    largest = F.greatest("size", "size_x")
+    # All but this many of the common n-grams can lie beyond the rare ones of one of the two.
+    common = F.ceil(percent * (F.col("size") + F.col("size_x")) / (100 + percent)) - (_least(largest, percent) - 1)
+    return (F.col("component") != F.col("component_x")) & (100 * F.least("size", "size_x") >= percent * largest) & (F.least("left", "left_x") >= common)
+
+
+def _outside(rows: DataFrame) -> DataFrame:
+    """The documents that are not in the largest component of an n-gram, with names ending in ``_x``."""
+    return rows.filter("component <> main").select("token", *[F.col(c).alias(f"{c}_x") for c in ("doc", "size", "left", "component")])
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("doc_x", "doc").alias("x"), F.greatest("doc_x", "doc").alias("y")).distinct()
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int, ranks: Broadcast) -> DataFrame:
     """The pairs (x, y) that are similar. The y's of an x go to prefix trees of bounded size, x walks each of them."""
     pairs = materialize(pairs, "pairs")
@@ -205,7 +236,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
        the global order (any order is right; this one has common n-grams last). Equal sets become one.
     2. The rarest n-grams of each document are counted; only those that two documents share are kept.
     3. Each document is compared with the smallest document of the n-grams it shares, its leader, if they share
-       many. So a large group of near copies costs a comparison or two per document, not one per pair.
+       many. So a large group of near copies costs a comparison or two per document, not one per pair. What is
+       still outside then meets a few members of the largest component of each n-gram, in a few rounds.
     4. Pairs that share a rare n-gram and are still in different components are compared, unless the sizes, or too
        few rare n-grams from that one on in a common order, rule the similarity out.
 
@@ -233,25 +265,26 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = materialize(_verified(texts, led, n, percent, ranks), "links")
     label = components(links)
 
-    placed = materialize(shared.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")).drop("leader"), "placed")
-    per_component = placed.groupBy("token", "component").agg(F.count("*").alias("n"))
-    mixed = per_component.groupBy("token").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("token", "main")
+    placed = _labelled(shared.drop("leader"), label)
+    open_rows = _mixed(materialize(placed, "placed"))
     # Of the n-grams that x and y share, the first in this order has all others after it in both documents.
-    mixed = mixed.join(per_component.groupBy("token").agg(F.sum("n").alias("n")), "token")
     after = Window.partitionBy("doc").orderBy(F.desc("n"), F.desc("token"))
-    open_rows = placed.join(mixed, "token").withColumn("left", F.row_number().over(after)).drop("n", "place")
-    minor = open_rows.filter("component <> main").select("token", *[F.col(c).alias(f"{c}_x") for c in ("doc", "size", "left", "component")])
-    largest = F.greatest("size", "size_x")
-    # All but this many of the common n-grams can lie beyond the rare ones of one of the two.
-    common = F.ceil(percent * (F.col("size") + F.col("size_x")) / (100 + percent)) - (_least(largest, percent) - 1)
-    may = (
-        (F.col("component") != F.col("component_x"))
-        & ((F.col("component") == F.col("main")) | (F.col("doc_x") < F.col("doc")))
-        & (100 * F.least("size", "size_x") >= percent * largest)
-        & (F.least("left", "left_x") >= common)
-    )
-    across = minor.join(open_rows, "token").filter(may).select(F.least("doc_x", "doc").alias("x"), F.greatest("doc_x", "doc").alias("y")).distinct()
-    rest = _verified(texts, across.join(links, ["x", "y"], "left_anti"), n, percent, ranks)
+    open_rows = materialize(open_rows.withColumn("left", F.row_number().over(after)).drop("place", "n"), "open")
+
+    # Rounds that may miss links, too: documents meet a few members of the largest component, others each time.
+    member = F.struct("doc", "size", "left", "component")
+    for turn in range(_TURNS):
+        members = [F.min_by(member, F.xxhash64("doc", F.lit(turn * _MEMBERS + i))) for i in range(_MEMBERS)]
+        chosen = open_rows.filter("component = main").groupBy("token").agg(F.array_distinct(F.array(*members)).alias("members"))
+        some = _outside(open_rows).join(chosen, "token").withColumn("member", F.explode("members")).select("*", "member.*").filter(_may(percent))
+        more = _verified(texts, _pairs(some).join(links, ["x", "y"], "left_anti"), n, percent, ranks)
+        links = materialize(links.unionByName(more), "links")
+        label = components(links)
+        open_rows = materialize(_mixed(_labelled(open_rows.drop("component", "main"), label)).drop("n"), "open")
+
+    minor = _outside(open_rows)
+    each = minor.join(open_rows, "token").filter(_may(percent) & ((F.col("component") == F.col("main")) | (F.col("doc_x") < F.col("doc"))))
+    rest = _verified(texts, _pairs(each).join(links, ["x", "y"], "left_anti"), n, percent, ranks)
     copies = known.join(first, "digest").filter("doc <> first").select(F.col("first").alias("x"), F.col("doc").alias("y"))
     final = components(links.unionByName(rest).unionByName(copies))
 
