@@ -2,16 +2,19 @@
 
 A page is read as a tree of block elements and text slots. Trees of a host are aligned level by level:
 neighbours of one label become a repeated group, elements only some pages have become optional, differing
-texts become slots. What the slots hold over all pages of the host (links, constant text) and what their
-elements are called tells the article from what surrounds it.
+texts become slots. Each page is then matched with its host's wrapper: what the slots, nodes of the wrapper, hold over all pages
+of the host (links, constant text) and what their elements are called tells the article from what surrounds it.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -35,6 +38,7 @@ _SIDE_WORDS = frozenset(
 )
 _MAIN_WORDS = frozenset("articlebody main".split())
 _FLUSH_HOSTS = 2000
+_FLUSH_SHAPES = 20_000
 _SALTS = 32
 #: From so many pages on, a slot that has one text on all of them is template text.
 _LITERAL_PAGES = 5
@@ -166,32 +170,141 @@ def expression(node: list) -> str:
     return f"({whole}){node[1]}" if node[1] else whole
 
 
+class Pattern:
+    """A node of a host's wrapper, numbered in the order of the page, with what finding a page's elements in it needs."""
+
+    __slots__ = ("at", "label", "required", "children", "labels", "places", "needed")
+
+    def __init__(self, node: list, numbers: Iterator[int]) -> None:
+        self.at, self.label, self.required = next(numbers), node[0], node[1] in ("", "+")
+        self.children = [Pattern(c, numbers) for c in node[2]]
+        self.labels = [c.label for c in self.children]
+        self.places: dict[str, list[int]] = {}
+        self.needed = [0]  # required children before each place
+        for i, c in enumerate(self.children):
+            self.places.setdefault(c.label, []).append(i)
+            self.needed.append(self.needed[-1] + c.required)
+
+
+def compiled(wrapper: str) -> Pattern:
+    """A wrapper from its JSON."""
+    return Pattern(json.loads(wrapper), itertools.count())
+
+
+def _misfit(run: list[list], child: Pattern) -> int:
+    """How many labels inside a run of elements a node of the wrapper does not have, and the other way round."""
+    had = {c[0] for element in run for c in element[1]}
+    return len(had.difference(child.labels)) + sum(c.required and c.label not in had for c in child.children)
+
+
+def _fit(runs: list[tuple[str, list[list]]], pattern: Pattern) -> list[Pattern | None]:
+    """The child of a wrapper's node that each run of neighbours of one label is, in order: as few required ones passed over as can be."""
+    children, needed = pattern.children, pattern.needed
+    if [label for label, _ in runs] == pattern.labels:
+        return children
+    found: list[Pattern | None] = [None] * len(runs)
+    low: list[tuple[int, int]] = []  # run, leftmost place
+    after = 0
+    for i, (label, _) in enumerate(runs):
+        places = pattern.places.get(label, [])
+        k = bisect_left(places, after)
+        if k < len(places):
+            low.append((i, places[k]))
+            after = places[k] + 1
+    before, wide = len(children), []
+    for i, first in reversed(low):
+        places = pattern.places[runs[i][0]]
+        k = bisect_left(places, before)
+        before = places[k - 1]
+        wide.append((i, places[bisect_left(places, first) : k]))
+    steps: list[list[tuple[int, int, int]]] = []  # place, cost, index of the step before
+    for i, places in reversed(wide):
+        step, had, least, back = [], 0, None, -1
+        for j in places:
+            if steps:
+                while had < len(steps[-1]) and steps[-1][had][0] < j:
+                    cost = steps[-1][had][1] - needed[steps[-1][had][0] + 1]
+                    if least is None or cost < least:
+                        least, back = cost, had
+                    had += 1
+            cost = (least or 0) + needed[j] + (_misfit(runs[i][1], children[j]) if len(places) > 1 else 0)
+            step.append((j, cost, back))
+        steps.append(step)
+    if steps:
+        at = min(range(len(steps[-1])), key=lambda n: steps[-1][n][1] - needed[steps[-1][n][0] + 1])
+        for (i, _), step in zip(wide, reversed(steps)):
+            found[i] = children[step[at][0]]
+            at = step[at][2]
+    return found
+
+
+def slots_of(tree: list, pattern: Pattern) -> list[str]:
+    """For each run of text of a page, in order, the node of the host's wrapper that it fills.
+
+    Neighbours of one label are one run, as in ``fold``, and go to one node. An element that has no node (where labels alone
+    leave open which of several nodes a page's element is) is named by its path below the last node.
+    """
+    made: list[str] = []
+
+    def unknown(node: list, name: str) -> None:
+        if node[0] == "#":
+            made.append(name)
+        for child in node[1]:
+            unknown(child, f"{name}/{child[0]}")
+
+    def walk(node: list, at: Pattern) -> None:
+        runs: list[tuple[str, list[list]]] = []
+        for child in node[1]:
+            if runs and runs[-1][0] == child[0]:
+                runs[-1][1].append(child)
+            else:
+                runs.append((child[0], [child]))
+        for (label, run), to in zip(runs, _fit(runs, at)):
+            for child in run:
+                if to is None:
+                    unknown(child, f"{at.at}/{label}")
+                elif label == "#":
+                    made.append(str(to.at))
+                else:
+                    walk(child, to)
+
+    walk(tree, pattern)
+    return made
+
+
 class Site:
-    """What the pages of a host have shown: the wrapper and, per slot, pages, characters, linked characters and the one text, if it is one."""
+    """The wrapper of the pages of a host so far; pages of one folded tree are joined once."""
 
     def __init__(self) -> None:
         self.wrapper: list | None = None
-        self.slots: dict[str, list] = {}
         self._seen: set[str] = set()
 
-    def add(self, tree: list, blocks: list[Block]) -> None:
-        folded = fold(tree)
-        key = json.dumps(folded)
-        if key not in self._seen:
-            self._seen.add(key)
-            self._join(folded)
+    def add(self, tree: list, blocks: list[Block] | None = None) -> None:
+        self.join(json.dumps(fold(tree)))
+
+    def join(self, wrapper: str) -> None:
+        if wrapper not in self._seen:
+            self._seen.add(wrapper)
+            made = json.loads(wrapper)
+            self.wrapper = made if self.wrapper is None else align(self.wrapper, made)
+
+
+class Slots:
+    """What the pages of a host hold in each slot of its wrapper: pages, characters, linked characters and the one text, if it is one."""
+
+    def __init__(self) -> None:
+        self.slots: dict[str, list] = {}
+
+    def add(self, tree: list, blocks: list[Block], pattern: Pattern) -> None:
         own: dict[str, list] = {}
-        for b in blocks:
-            slot = own.setdefault("/".join(b.path), [1, 0, 0, "", b.main, b.side])
+        for b, at in zip(blocks, slots_of(tree, pattern), strict=True):
+            slot = own.setdefault(at, [1, 0, 0, "", b.main, b.side])
             slot[1] += len(b.text)
             slot[2] += b.linked
             slot[3] = f"{slot[3]}\n{b.text}"[:500]
             slot[5] = slot[5] and b.side
         self.count(own)
 
-    def _join(self, wrapper: list) -> None:
-        self.wrapper = wrapper if self.wrapper is None else align(self.wrapper, wrapper)
-
     def count(self, slots: dict[str, list]) -> None:
         for path, (pages, chars, linked, text, main, side) in slots.items():
             had = self.slots.get(path)
@@ -201,15 +314,13 @@ class Site:
                 self.slots[path] = [had[0] + pages, had[1] + chars, had[2] + linked, text if text == had[3] else None, had[4] or main, had[5] and side]
 
     def merge(self, other: str) -> None:
-        wrapper, slots = json.loads(other)
-        self._join(wrapper)
-        self.count(slots)
+        self.count(json.loads(other))
 
     def dump(self) -> str:
-        return json.dumps([self.wrapper, self.slots], ensure_ascii=False)
+        return json.dumps(self.slots, ensure_ascii=False)
 
     def dropped(self) -> list[str]:
-        """Paths of slots that are not article by what all pages of the host have in them."""
+        """Slots of the wrapper that are not article by what all pages of the host have in them."""
         marked = any(main and not side for _, _, _, _, main, side in self.slots.values())
         inside = {p: s for p, s in self.slots.items() if not s[5] and (s[4] or not marked)}
         varied = any(text is None for _, _, _, text, _, _ in inside.values())
@@ -220,36 +331,83 @@ class Site:
         )
 
 
-def main_text(page: str, dropped: frozenset[str] = frozenset()) -> str:
+def main_text(page: str, pattern: Pattern | None = None, dropped: frozenset[str] = frozenset()) -> str:
     """The article of a page: blocks joined by an empty line. Without an article element, all that is not set aside."""
-    _, blocks = read_page(page)
-    held = [b for b in blocks if not b.side and b.text]
-    if any(b.main for b in held):
-        held = [b for b in held if b.main]
-    return "\n\n".join([b.text for b in held if "/".join(b.path) not in dropped])
+    tree, blocks = read_page(page)
+    gone = [at in dropped for at in slots_of(tree, pattern)] if pattern and dropped else [False] * len(blocks)
+    held = [(b, out) for b, out in zip(blocks, gone, strict=True) if not b.side and b.text]
+    if any(b.main for b, _ in held):
+        held = [(b, out) for b, out in held if b.main]
+    return "\n\n".join([b.text for b, out in held if not out])
+
+
+@F.pandas_udf(StringType())
+def _host(urls: pd.Series) -> pd.Series:
+    return pd.Series([host_of(u) for u in urls], dtype=object)
 
 
 def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """One row per host: ``host``, ``wrapper`` (a regular expression) and ``dropped`` (paths of slots, as JSON).
+    """One row per host: ``host`` and its ``wrapper``, as JSON.
 
-    Every page of a host counts. A task joins the pages it has into one partial wrapper per host; those
-    are joined in two levels, so a host with a third of all pages is a few small rows per task.
+    Every page of a host counts. A task gives each folded tree of a host once; those are joined in an order that does
+    not depend on partitions, in two levels, so a host with a third of all pages is many small groups.
     """
 
+    def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("host", pa.string()), ("shape", pa.string())])
+        seen: set[tuple[str, str]] = set()
+        for batch in batches:
+            made = []
+            for address, source in zip(batch.column("url").to_pylist(), batch.column("page").to_pylist()):
+                row = (host_of(address), json.dumps(fold(read_page(source)[0])))
+                if row not in seen:
+                    seen.add(row)
+                    made.append(row)
+            yield as_batch(made, schema)
+            if len(seen) > _FLUSH_SHAPES:
+                seen.clear()
+
+    def joined(wrappers: Iterable[str]) -> str:
+        site = Site()
+        for wrapper in wrappers:
+            site.join(wrapper)
+        return json.dumps(site.wrapper)
+
+    def halfway(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"host": [parts["host"].iloc[0]], "salt": [parts["salt"].iloc[0]], "shape": [joined(sorted(set(parts["shape"])))]})
+
+    def final(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"host": [parts["host"].iloc[0]], "wrapper": [joined(parts.sort_values("salt")["shape"])]})
+
+    given = pages.select(F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{page}`").cast("string"), F.lit("")).alias("page"))
+    parts = given.mapInArrow(shapes, "host string, shape string").withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(_SALTS)))
+    half = parts.groupBy("host", "salt").applyInPandas(halfway, "host string, salt long, shape string")
+    return half.groupBy("host").applyInPandas(final, "host string, wrapper string")
+
+
+def _patterns() -> Callable[[str], Pattern]:
+    """Compiles wrappers, remembering those of the last hosts."""
+    return lru_cache(_FLUSH_HOSTS)(compiled)
+
+
+def dropped_slots(located: DataFrame, host: str, wrapper: str, page: str) -> DataFrame:
+    """One row per host: ``host`` and ``dropped`` (slots of its wrapper, as JSON), from pages that have their host's wrapper beside them."""
+
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("host", pa.string()), ("site", pa.string())])
-        sites: dict[str, Site] = {}
+        sites: dict[str, Slots] = {}
+        pattern = _patterns()
         for batch in batches:
-            for address, source in zip(batch.column("url").to_pylist(), batch.column("page").to_pylist()):
-                sites.setdefault(host_of(address), Site()).add(*read_page(source))
+            for name, made, source in zip(*(batch.column(c).to_pylist() for c in ("host", "wrapper", "page"))):
+                sites.setdefault(name, Slots()).add(*read_page(source), pattern(made))
             if len(sites) > _FLUSH_HOSTS:
-                yield as_batch([(host, site.dump()) for host, site in sites.items()], schema)
+                yield as_batch([(name, site.dump()) for name, site in sites.items()], schema)
                 sites = {}
-        yield as_batch([(host, site.dump()) for host, site in sites.items()], schema)
+        yield as_batch([(name, site.dump()) for name, site in sites.items()], schema)
 
-    def joined(parts: pd.DataFrame) -> Site:
-        site = Site()
-        for part in sorted(parts["site"]):
+    def joined(parts: pd.DataFrame) -> Slots:
+        site = Slots()
+        for part in parts["site"]:
             site.merge(part)
         return site
 
@@ -257,44 +415,36 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
         return pd.DataFrame({"host": [parts["host"].iloc[0]], "site": [joined(parts).dump()]})
 
     def final(parts: pd.DataFrame) -> pd.DataFrame:
-        site = joined(parts)
-        return pd.DataFrame({"host": [parts["host"].iloc[0]], "wrapper": [expression(site.wrapper)], "dropped": [json.dumps(site.dropped(), ensure_ascii=False)]})
+        return pd.DataFrame({"host": [parts["host"].iloc[0]], "dropped": [json.dumps(joined(parts).dropped())]})
 
-    given = pages.select(F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{page}`").cast("string"), F.lit("")).alias("page"))
+    given = located.select(F.col(host).alias("host"), F.col(wrapper).alias("wrapper"), F.coalesce(F.col(f"`{page}`").cast("string"), F.lit("")).alias("page"))
     parts = given.mapInArrow(partial, "host string, site string").withColumn("salt", F.pmod(F.xxhash64("site"), F.lit(_SALTS)))
     half = parts.groupBy("host", "salt").applyInPandas(halfway, "host string, site string")
-    return half.groupBy("host").applyInPandas(final, "host string, wrapper string, dropped string")
+    return half.groupBy("host").applyInPandas(final, "host string, dropped string")
 
 
 def extract(pages: DataFrame, url: str = "url", page: str = "html", out: str = "text") -> DataFrame:
     """``pages`` with the main text in column ``out`` (replaced if it is there).
 
+    The pages are read three times: for the wrapper of each host, for what its slots hold, and for the text.
+
     A null or empty page has an empty text; a null or broken address counts as the host with the empty
     name. Rows are kept one to one, repeated ones too; an empty table gives an empty one; extra columns
     are passed on.
     """
-    wrappers = small(materialize(infer(pages, url, page).select("host", "dropped"), "wrappers"), 20_000)
     pages = pages.drop(out) if out != page else pages
-    host, gone = fresh(pages, "_host"), fresh(pages, "_dropped")
-
-    def hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield with_columns(batch, **{host: pa.array([host_of(u) for u in batch.column(url).to_pylist()], pa.string())})
-
+    host, made_of, gone = fresh(pages, "_host"), fresh(pages, "_wrapper"), fresh(pages, "_dropped")
+    wrappers = small(materialize(infer(pages, url, page), "wrappers").select(F.col("host").alias(host), F.col("wrapper").alias(made_of)), 20_000)
+    hosted = pages.withColumn(host, _host(F.col(f"`{url}`").cast("string")))
+    found = dropped_slots(hosted.join(wrappers, host), host, made_of, page).select(F.col("host").alias(host), F.col("dropped").alias(gone))
+    sites = small(materialize(wrappers.join(found, host), "slots"), 20_000)
     schema = StructType([f for f in pages.schema.fields if f.name != out] + [StructField(out, StringType())])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[str]] = {}
+        pattern, slots = _patterns(), lru_cache(_FLUSH_HOSTS)(lambda listed: frozenset(json.loads(listed)))
         for batch in batches:
-            made = []
-            for source, paths in zip(batch.column(page).to_pylist(), batch.column(gone).to_pylist()):
-                paths = paths or "[]"
-                if paths not in known:
-                    known.clear() if len(known) > _FLUSH_HOSTS else None
-                    known[paths] = frozenset(json.loads(paths))
-                made.append(main_text(source or "", known[paths]))
+            rows = zip(*(batch.column(c).to_pylist() for c in (page, made_of, gone)))
+            made = [main_text(source or "", pattern(wrapper), slots(listed)) for source, wrapper, listed in rows]
             yield with_columns(batch, **{out: pa.array(made, pa.string())}).select(schema.fieldNames())
 
-    located = pages.mapInArrow(hosts, StructType([*pages.schema.fields, StructField(host, StringType())]))
-    joined = located.join(wrappers.select(F.col("host").alias(host), F.col("dropped").alias(gone)), host, "left")
-    return joined.mapInArrow(texts, schema)
+    return hosted.join(sites, host, "left").mapInArrow(texts, schema)

@@ -1,5 +1,6 @@
 """Operators on pages, conversations and vectors against brute force."""
 
+import json
 import math
 import random
 
@@ -9,7 +10,7 @@ from corpusloom.llm.chat_snapshots import maximal_chats
 from corpusloom.llm.html_tokens import plain_text
 from corpusloom.llm.pivot_search import top_k
 from corpusloom.llm.warc import derive, digest, from_bytes, page_responses, to_bytes
-from corpusloom.llm.wrappers import Site, expression, extract, main_text, read_page
+from corpusloom.llm.wrappers import Site, compiled, expression, extract, main_text, read_page, slots_of
 
 PAGE = (
     '<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script><style>p{}</style></head><body><header>Site</header><nav><ul><li><a href="/a">A</a></ul></nav>'
@@ -44,6 +45,37 @@ def test_template_text_of_a_host_goes(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def test_slots_are_nodes_of_the_wrapper(spark):
+    """Slots of one path at two positions, and in a repeated group, are told apart."""
+    page = "<article><div>Share this story</div><p>Story {0}</p><div>By writer {0}</div></article>"
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {i: f"Story {i}\n\nBy writer {i}" for i in range(6)}
+
+
+def test_pages_fit_the_wrapper_of_their_host():
+    draw = random.Random(4)
+
+    def element(depth):
+        name = draw.choice(["div", "section", "p"] if depth else ["p"])
+        return f"<{name}>{''.join(element(depth - 1) for _ in range(draw.randint(0, 4))) if name != 'p' else 'x'}</{name}>"
+
+    for _ in range(100):
+        site, pages = Site(), [read_page("".join(element(2) for _ in range(draw.randint(1, 4)))) for _ in range(6)]
+        for page in pages:
+            site.add(*page)
+        pattern = compiled(json.dumps(site.wrapper))
+        for tree, blocks in pages:
+            assert len(slots_of(tree, pattern)) == len(blocks)
+    first = "<div><h1>a</h1></div><section>s</section><div><p>b</p></div>"
+    site = Site()
+    for page in (first, "<section>s</section><div><p>b</p></div>", "<div><h1>a</h1></div>"):
+        site.add(*read_page(page))
+    pattern = compiled(json.dumps(site.wrapper))
+    whole = slots_of(read_page(first)[0], pattern)
+    assert slots_of(read_page("<div><p>b</p></div>")[0], pattern) == whole[2:] and slots_of(read_page("<div><h1>a</h1></div>")[0], pattern) == whole[:1]
+
+
 def test_archive_records(spark):
     rows = [(1, "http://x.example/", PAGE), (2, None, None), (3, "http://y.example/", "<p>a</p>"), (3, "http://y.example/", "<p>a</p>")]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, block string")
