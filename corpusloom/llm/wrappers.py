@@ -8,6 +8,7 @@ of the host (links, constant text) and what their elements are called tells the
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
 import re
@@ -40,11 +41,17 @@ _MAIN_WORDS = frozenset("articlebody main".split())
 _FLUSH_HOSTS = 2000
 _FLUSH_SHAPES = 20_000
 _SALTS = 32
-#: From so many pages on, a slot that has one text on all of them is template text.
+#: Elements that hold an article's own text.
+_PROSE = frozenset("address blockquote body caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre summary td th".split())
+#: From so many pages on, a slot that has one text on all of them, and is on most pages of its host, is template text.
 _LITERAL_PAGES = 5
 _LINK_SHARE = 0.9
 
 
+def _heading(name: str) -> bool:
+    return re.fullmatch("h[1-6]", name) is not None
+
+
 def host_of(url: str | None) -> str:
     try:
         return (urlsplit(url or "").hostname or "").lower()
@@ -61,6 +68,11 @@ class Block:
 
     __slots__ = ("path", "text", "linked", "side", "main")
 
+    @property
+    def prose(self) -> str:
+        """The name of the innermost block element."""
+        return self.path[-1].split(".")[0] if self.path else ""
+
     def __init__(self, path: tuple[str, ...], text: str, linked: int, side: bool, main: bool) -> None:
         self.path, self.text, self.linked, self.side, self.main = path, text, linked, side, main
 
@@ -290,44 +302,59 @@ class Site:
 
 
 class Slots:
-    """What the pages of a host hold in each slot of its wrapper: pages, characters, linked characters and the one text, if it is one."""
+    """What the pages of a host hold in each slot of its wrapper: pages, characters, linked characters and the digest of the one text, if it is one."""
 
     def __init__(self) -> None:
+        self.pages = 0
         self.slots: dict[str, list] = {}
 
     def add(self, tree: list, blocks: list[Block], pattern: Pattern) -> None:
         own: dict[str, list] = {}
         for b, at in zip(blocks, slots_of(tree, pattern), strict=True):
-            slot = own.setdefault(at, [1, 0, 0, "", b.main, b.side])
+            slot = own.setdefault(at, [1, 0, 0, [], b.main, b.side, b.prose])
             slot[1] += len(b.text)
             slot[2] += b.linked
-            slot[3] = f"{slot[3]}\n{b.text}"[:500]
+            slot[3].append(b.text)
             slot[5] = slot[5] and b.side
+        for slot in own.values():
+            slot[3] = hashlib.sha256("\n".join(slot[3]).encode("utf-8", "surrogatepass")).hexdigest()
+        self.pages += bool(own)
         self.count(own)
 
     def count(self, slots: dict[str, list]) -> None:
-        for path, (pages, chars, linked, text, main, side) in slots.items():
-            had = self.slots.get(path)
+        for at, (pages, chars, linked, text, main, side, prose) in slots.items():
+            had = self.slots.get(at)
             if had is None:
-                self.slots[path] = [pages, chars, linked, text, main, side]
+                self.slots[at] = [pages, chars, linked, text, main, side, prose]
             else:
-                self.slots[path] = [had[0] + pages, had[1] + chars, had[2] + linked, text if text == had[3] else None, had[4] or main, had[5] and side]
+                self.slots[at] = [had[0] + pages, had[1] + chars, had[2] + linked, text if text == had[3] else None, had[4] or main, had[5] and side, had[6]]
 
     def merge(self, other: str) -> None:
-        self.count(json.loads(other))
+        pages, slots = json.loads(other)
+        self.pages += pages
+        self.count(slots)
 
     def dump(self) -> str:
-        return json.dumps(self.slots, ensure_ascii=False)
+        return json.dumps([self.pages, self.slots])
 
     def dropped(self) -> list[str]:
-        """Slots of the wrapper that are not article by what all pages of the host have in them."""
-        marked = any(main and not side for _, _, _, _, main, side in self.slots.values())
-        inside = {p: s for p, s in self.slots.items() if not s[5] and (s[4] or not marked)}
-        varied = any(text is None for _, _, _, text, _, _ in inside.values())
+        """Slots of the wrapper that are not article by what all pages of the host have in them.
+
+        Links go. One text that most pages of the host have goes outside article elements. Inside them it goes only
+        from bare containers, and only if paragraphs or containers of the article differ: headings, paragraphs, items and
+        cells of an article are its own, whatever other pages say.
+        """
+        marked = any(s[4] and not s[5] for s in self.slots.values())
+        inside = {at: s for at, s in self.slots.items() if not s[5] and (s[4] or not marked)}
+        varied = any(s[3] is None and not _heading(s[6]) for s in inside.values())
+
+        def template(pages: int, text: str | None, main: bool, prose: str) -> bool:
+            return varied and text is not None and pages >= _LITERAL_PAGES and 2 * pages > self.pages and not (main and prose in _PROSE)
+
         return sorted(
-            path
-            for path, (pages, chars, linked, text, _, _) in inside.items()
-            if chars and linked >= _LINK_SHARE * chars or varied and text is not None and pages >= _LITERAL_PAGES
+            at
+            for at, (pages, chars, linked, text, main, _, prose) in inside.items()
+            if chars and linked >= _LINK_SHARE * chars or template(pages, text, main, prose)
         )
 
 

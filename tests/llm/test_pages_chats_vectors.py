@@ -53,6 +53,19 @@ def test_slots_are_nodes_of_the_wrapper(spark):
     assert got == {i: f"Story {i}\n\nBy writer {i}" for i in range(6)}
 
 
+def test_article_text_that_pages_share_stays(spark):
+    """Articles with a long common beginning, with headings all pages have, and a slot that few pages of a host have."""
+    same = "word " * 200
+    rows = [(i, f"http://mirror.example/{i}", f"<article><h1>T{i}</h1><p>{same}</p><p>End {i}</p></article>") for i in range(6)]
+    rows += [(10 + i, f"http://cook.example/{i}", f"<article><h1>T{i}</h1><h2>Ingredients</h2><p>Dish {i}</p></article>") for i in range(6)]
+    rows += [(20 + i, f"http://copy.example/{i}", f"<article><h1>T{i}</h1><div>The one story</div></article>") for i in range(6)]
+    rows += [(30 + i, f"http://rare.example/{i}", f"<p>Post {i}</p>" + "<blockquote>Rare words</blockquote>" * (i < 5)) for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    want = {i: f"T{i}\n\n{same.strip()}\n\nEnd {i}" for i in range(6)}
+    want |= {10 + i: f"T{i}\n\nIngredients\n\nDish {i}" for i in range(6)} | {20 + i: f"T{i}\n\nThe one story" for i in range(6)}
+    assert got == want | {30 + i: f"Post {i}" + "\n\nRare words" * (i < 5) for i in range(20)}
+
+
 def test_pages_fit_the_wrapper_of_their_host():
     draw = random.Random(4)
 
