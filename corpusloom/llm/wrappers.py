@@ -16,6 +16,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -30,6 +31,8 @@ from corpusloom.session import materialize
 
 #: Elements that are never part of an article.
 _SIDE_TAGS = frozenset("nav footer aside form button select datalist dialog menu title head input label fieldset output progress meter".split())
+#: Elements whose name alone says something.
+_TELLING = _SIDE_TAGS | {"article", "main", "header", "a"}
 #: Words of class, id and role that name what is not article.
 _SIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promoted promotion banner banners nav navigation navbar menu menus "
@@ -37,7 +40,8 @@ _SIDE_WORDS = frozenset(
     "alert alerts newsletter subscribe subscription signup login signin register search searchbox share sharing social related recommended recommendations comment comments "
     "commentlist disqus reply replies respond popup modal overlay dialog pagination pager paywall toolbar skip outbrain taboola".split()
 )
-_MAIN_WORDS = frozenset("articlebody main".split())
+#: After these, the words of a name tell what is not there, or beside the element.
+_MODIFIERS = frozenset("with without has have no non not hide hides".split())
 _FLUSH_HOSTS = 2000
 _FLUSH_SHAPES = 20_000
 _SALTS = 32
@@ -63,25 +67,77 @@ def _words(*values: str) -> set[str]:
     return {w.lower() for v in values for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", v)}
 
 
+def _side_named(names: str) -> bool:
+    """Whether class, id or role name what is not article; words after a modifier (with-sidebar, no-ads) do not count."""
+    for name in names.split():
+        for word in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", name):
+            if word.lower() in _MODIFIERS:
+                break
+            if word.lower() in _SIDE_WORDS:
+                return True
+    return False
+
+
+class Flags(NamedTuple):
+    """What an open element and those around it say.
+
+    ``side``: not article, whatever else is said. ``named``: not article by the words of a name outside any article
+    element. ``main``: in an article element. ``may``: elements around it that are named main, by number. ``headed``: in
+    a header that only such an element could make part of the article.
+    """
+
+    side: bool = False
+    named: bool = False
+    main: bool = False
+    may: tuple[int, ...] = ()
+    headed: bool = False
+    link: bool = False
+
+
 class Block:
     """A run of text: the path of its block elements, its text, how much of it is links, and what its elements say."""
 
-    __slots__ = ("path", "text", "linked", "side", "main")
+    __slots__ = ("path", "text", "linked", "side", "main", "flags")
 
     @property
     def prose(self) -> str:
         """The name of the innermost block element."""
         return self.path[-1].split(".")[0] if self.path else ""
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int, side: bool, main: bool) -> None:
-        self.path, self.text, self.linked, self.side, self.main = path, text, linked, side, main
+    def __init__(self, path: tuple[str, ...], text: str, linked: int, side: bool, flags: Flags) -> None:
+        self.path, self.text, self.linked, self.side, self.main, self.flags = path, text, linked, side, flags.main, flags
+
+
+def _settle(blocks: list[Block]) -> None:
+    """Decide what needs the whole page: which elements called main, and which articles within what is named as something else, count.
+
+    An article element inside a named element counts if the page has no text in an article elsewhere. Without an article
+    element, the element called main that holds most text is one, if that is more than half of the page's.
+    """
+    held = [b for b in blocks if not b.side and b.text]
+    free = any(b.main and not b.flags.named for b in held)
+    for b in held:
+        b.side = b.flags.named and (free or not b.main)
+    chosen = None
+    if not any(b.main and not b.side for b in held):
+        sizes: dict[int, int] = {}
+        for b in held:
+            for element in () if b.side else b.flags.may:
+                sizes[element] = sizes.get(element, 0) + len(b.text)
+        whole = sum(len(b.text) for b in held if not b.side)
+        _, chosen = max(((n, element) for element, n in sizes.items() if 2 * n > whole), default=(0, None))
+        for b in held:
+            b.main = chosen in b.flags.may
+    for b in held:
+        b.side = b.side or b.flags.headed and not b.main
 
 
 def read_page(page: str) -> tuple[list, list[Block]]:
     """The tree of a page's block elements ([label, children]; a text slot is ["#", []]) and its runs of text."""
     root: list = ["", []]
     nodes, path = [root], [()]
-    flags: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]  # element, side, main, in a link
+    flags = [Flags()]
+    mains = itertools.count(1)
     blocks: list[Block] = []
     run: list[str] = []
     linked = 0
@@ -95,15 +151,14 @@ def read_page(page: str) -> tuple[list, list[Block]]:
             inner = all(side for part, side in run if part.strip())
             mixed = not inner and any(side for _, side in run)
             kept = " ".join("".join([part for part, side in run if not side]).split()) if mixed else text
-            blocks.append(Block(path[-1], kept, min(linked, len(text)), inner, flags[-1][2]))
+            blocks.append(Block(path[-1], kept, min(linked, len(text)), inner, flags[-1]))
         run.clear()
         linked = 0
 
     for token in balanced(page):
         if token.kind == "text":
-            _, side, _, link = flags[-1]
-            run.append((token.value, side))
-            if link:
+            run.append((token.value, flags[-1].side))
+            if flags[-1].link:
                 linked += len(token.value.strip())
             continue
         block = token.value in BLOCKS
@@ -113,14 +168,22 @@ def read_page(page: str) -> tuple[list, list[Block]]:
             given = attributes(token.attributes) if token.attributes else {}
             names = " ".join(given.get(a, "") for a in ("class", "id", "role", "itemprop")) if given else ""
             words = _words(names) if names.strip() else set()
-            _, side, main, link = flags[-1]
-            opens = token.value in ("article", "main") or bool(words & _MAIN_WORDS)
-            hides = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower()
-            side = side or hides or token.value in _SIDE_TAGS or token.value == "header" and not main
-            side = side or bool(words & _SIDE_WORDS) and token.value not in ("html", "body") and not (opens and token.value in ("article", "main"))
-            flags.append((token.value, side, main or opens, link or token.value == "a"))
+            if not given and token.value not in _TELLING:
+                flags.append(flags[-1])
+            else:
+                side, named, main, may, headed, link = flags[-1]
+                opens = token.value in ("article", "main") or "articlebody" in given.get("itemprop", "").lower().split()
+                hides = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower()
+                side = side or hides or token.value in _SIDE_TAGS or token.value == "header" and not (main or may)
+                if words & _SIDE_WORDS and not opens and token.value not in ("html", "body") and _side_named(names):
+                    # Text between blocks is left out of a block by its inline elements, so those say it at once.
+                    side, named = side or main or token.value not in BLOCKS, True
+                if "main" in words and not main and token.value not in ("html", "body"):
+                    may = (*may, next(mains))
+                headed = headed or token.value == "header" and not main
+                flags.append(Flags(side, named, main or opens, may, headed, link or token.value == "a"))
             if token.value in ("br", "img", "hr"):
-                run.append((" ", side))
+                run.append((" ", flags[-1].side))
             if block:
                 label = token.value + "".join(f".{w}" for w in sorted(words))
                 node = [label, []]
@@ -133,6 +196,7 @@ def read_page(page: str) -> tuple[list, list[Block]]:
                 nodes.pop()
                 path.pop()
     flush()
+    _settle(blocks)
     return root, blocks
 
 

@@ -27,6 +27,16 @@ def test_main_text():
     assert main_text("<p>a < b &lt; c</p>") == "a < b < c"
 
 
+def test_names_do_not_hide_articles():
+    assert main_text("<div class='layout sidebar-page'><article><p>story</p><p class=related>x</p></article><div>side</div></div>") == "story"
+    assert main_text("<div id=page class='no-sidebar hasComments'><p>story</p><div class=sidebar>x</div></div>") == "story"
+    assert main_text("<article><p>story</p></article><div class=related><article>other</article></div><aside><article>x</article></aside>") == "story"
+    assert main_text("<h1 class=main-title>Title</h1><img class=main-image><p>the story is longer</p>") == "Title\n\nthe story is longer"
+    assert main_text("<div class=main><header><h1>Head</h1></header><p>story of the page</p></div><p>outside</p>") == "Head\n\nstory of the page"
+    assert main_text("<div class=ad><div itemprop=articleBody><p>story</p></div></div><p>outside</p>") == "story"
+    assert main_text("<p>story <span class=share>Share</span> goes on</p><div class=ad><p>x</p></div>") == "story goes on"
+
+
 def test_wrapper_has_repeated_and_optional_groups():
     site = Site()
     for page in ("<body><h1>a</h1><p>x</p><p>y</p></body>", "<body><h1>b</h1><div class=note>n</div><p>z</p></body>"):
