@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from corpusloom.llm.chat_snapshots import maximal_chats
+from corpusloom.llm.chat_snapshots import _marked, maximal_chats, numbered_prefixes
 from corpusloom.llm.html_tokens import plain_text
 from corpusloom.llm.pivot_search import top_k
 from corpusloom.llm.warc import derive, digest, from_bytes, page_responses, to_bytes
@@ -127,6 +127,37 @@ def test_snapshots_collapse(spark):
     assert maximal_chats(turns.limit(0)).count() == 0
 
 
+def test_long_conversations_are_many_parts(spark):
+    """A conversation of a third of all turns, the null id and shared numbers; prefixes go on from part to part."""
+    draw = random.Random(9)
+    said = [(draw.choice("ab"), draw.choice(["x", "y", "", None])) for _ in range(3000)]
+    rows = [(1, i, *s) for i, s in enumerate(said)] + [(2, 2 * i, *s) for i, s in enumerate(said[:2999])] + [(3, i, *s) for i, s in enumerate(said)]
+    rows += [(4, i, *s) for i, s in enumerate(said[:1500])] + [(4, 1500, "c", "other")] + [(None, None, "a", str(i)) for i in range(2000)]
+    rows += [(5, 0, "a", str(i)) for i in range(1000)] + rows[:500]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    talks: dict = {}
+    for c, t, r, x in set((c, t, r, x or "") for c, t, r, x in rows):
+        talks.setdefault(c, []).append((-1 if t is None else t, r, x))
+    talks = {c: [(r, x) for _, r, x in sorted(talk)] for c, talk in talks.items()}
+    want = {
+        c: (len(talk), "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for r, x in talk))
+        for c, talk in talks.items()
+        if not any(other[: len(talk)] == talk and (len(other) > len(talk) or (o or 9) < (c or 9)) for o, other in talks.items() if o != c)
+    }
+    assert set(want) == {1, 4, 5, None}
+    assert {r["conv_id"]: (r["n_turns"], r["text"]) for r in maximal_chats(turns).collect()} == want
+    marked = _marked(turns, "conv_id", "turn", "role", "text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r["key"], r["position"]): r for r in numbered_prefixes(marked).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == sum(map(len, talks.values()))
+    sums = lambda key, n: [got[key, n][f"s{i}"] for i in range(4)]
+    assert all(sums("1", n) == sums("2", n) == sums("3", n) for n in range(1, 3000)) and sums("4", 1500) == sums("1", 1500) and sums("4", 1501) != sums("1", 1501)
+    assert [got["", n]["n_turns"] for n in (1, 2000)] == [2000, 2000]
+
+
 def test_top_k_is_exact(spark):
     draw = random.Random(2)
     rows = [(i, [draw.gauss(0, 1 + (i % 7 == 0)) for _ in range(6)]) for i in range(400)]
