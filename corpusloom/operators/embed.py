@@ -24,7 +24,7 @@ def embed_tfidf(df: DataFrame, text: str = "text", out: str = "embedding", size:
     counted = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=size).transform(tokens)
     weighted = IDF(inputCol="_tf", outputCol="_tfidf").fit(counted).transform(counted)
     unit = Normalizer(inputCol="_tfidf", outputCol="_unit").transform(weighted)
-    return unit.withColumn(out, vector_to_array("_unit", "float32")).drop("_tokens", "_tf", "_tfidf", "_unit")
+    return unit.withColumn(out, vector_to_array("_unit", "float64")).drop("_tokens", "_tf", "_tfidf", "_unit")
 
 
 def embed_with(

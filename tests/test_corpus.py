@@ -145,6 +145,17 @@ def test_edge_vectors(spark):
     assert kept(df.where("seq in (1, 5)"), 0.85) == [1, 5]
 
 
+def test_vectors_are_compared_in_double_precision(spark):
+    """Numbers that single precision cannot hold, and cosines nearer to the threshold than it can tell."""
+    far = [(1, [1e300, 0.0]), (2, [0.0, 1e-300]), (3, [1e300, 1e290])]
+    near = [(4 + i, [1.0, 0.0] if i == 0 else [c, (1 - c * c) ** 0.5]) for i, c in enumerate([1.0, 0.85 - 1e-9])]
+    for rows, want in ((far, [1, 2]), (near, [4, 5])):
+        df = spark.createDataFrame(rows, "seq long, v array<double>")
+        assert sorted(r.seq for r in similarity.greedy_kept(df, "seq", "v", 0.85).collect()) == want
+    df = spark.createDataFrame(far, "seq long, v array<double>")
+    assert [tuple(r) for r in similarity.first_similar(df, "seq", "v", 0.85).collect()] == [(3, 1)]
+
+
 def test_similarity_at_the_threshold_removes(spark):
     df = vector_table(spark, [1, 2], [[1.0, 1.0, 0.0, 0.0], [1.0, 0.0, 1.0, 0.0]])
     assert kept(df, 0.5) == [1] and kept(df, 0.51) == [1, 2]
