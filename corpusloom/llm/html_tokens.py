@@ -9,12 +9,16 @@ from typing import NamedTuple
 
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Elements whose content is not text of the page, or is not mark-up.
-RAW = frozenset("script style textarea title noscript iframe template xmp svg math".split())
+#: Elements whose content is not text of the page (browsers never show it), or is not mark-up.
+RAW = frozenset("script style textarea title iframe template xmp".split())
+#: Elements whose content is not mark-up but text; of these, xmp has no references.
+_RAW_TEXT = frozenset("textarea title xmp".split())
+#: Elements that a slash at the end of the opening tag closes.
+_FOREIGN = frozenset("svg math".split())
 #: Elements that begin and end a block of text.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
-    "hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
+    "hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul xmp".split()
 )
 #: An opening tag ends an open element of these names (up to the nearest container).
 CLOSES = {
@@ -45,8 +49,12 @@ def attributes(source: str) -> dict[str, str]:
 
 
 def lex(page: str) -> Iterator[Token]:
-    """Tags and texts in page order; comments, declarations and the content of raw elements left out (a title's text is kept)."""
+    """Tags and texts in page order; comments, declarations and the content of raw elements left out, unless it is text.
+
+    A script or style without an end goes to the end of the page; other raw elements without one are empty.
+    """
     at = 0
+    unended: set[str] = set()  # searched to the end of the page once
     while at < len(page):
         tag = _TAG.search(page, at)
         if tag is None:
@@ -61,10 +69,14 @@ def lex(page: str) -> Iterator[Token]:
         name = name.lower()
         yield Token("close" if closing else "open", name, given)
         if name in RAW and not closing and not given.endswith("/"):
-            end = _END_RAW[name].search(page, at)
+            end = _END_RAW[name].search(page, at) if name not in unended else None
+            if end is None and name not in ("script", "style"):
+                unended.add(name)
+                yield Token("close", name)
+                continue
             stop = end.start() if end else len(page)
-            if name in ("title", "textarea"):
-                yield Token("text", html.unescape(page[at:stop]))
+            if name in _RAW_TEXT:
+                yield Token("text", page[at:stop] if name == "xmp" else html.unescape(page[at:stop]))
             yield Token("close", name)
             at = end.end() if end else len(page)
 
@@ -91,7 +103,7 @@ def balanced(page: str) -> Iterator[Token]:
             if token.value in CLOSES:
                 yield from end(CLOSES[token.value], _CONTAINERS - {token.value})
             yield token
-            if token.value in VOID:
+            if token.value in VOID or token.value in _FOREIGN and token.attributes.endswith("/"):
                 yield Token("close", token.value)
             else:
                 stack.append(token.value)

@@ -46,7 +46,7 @@ _FLUSH_HOSTS = 2000
 _FLUSH_SHAPES = 20_000
 _SALTS = 32
 #: Elements that hold an article's own text.
-_PROSE = frozenset("address blockquote body caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre summary td th".split())
+_PROSE = frozenset("address blockquote body caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre summary td th xmp".split())
 #: From so many pages on, a slot that has one text on all of them, and is on most pages of its host, is template text.
 _LITERAL_PAGES = 5
 _LINK_SHARE = 0.9

@@ -27,6 +27,15 @@ def test_main_text():
     assert main_text("<p>a < b &lt; c</p>") == "a < b < c"
 
 
+def test_text_of_formulas_and_listings_is_read():
+    page = (
+        "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p><xmp><b> &amp;</xmp><noscript><p>plain</p></noscript><svg><text>label</text><path/></svg><svg/>"
+        "<script>var a</script><style>p{}</style><template><p>never</p></template><p>end</p><iframe src=x><p>after</p></article>"
+    )
+    assert main_text(page).split() == plain_text(page).split() == "Let x=1 be <b> &amp; plain label end after".split()
+    assert plain_text("<xmp>a<p>b") == "a\nb" and plain_text("<textarea>a<p>b") == "a\nb" and plain_text("a<script>b<p>c") == "a"
+
+
 def test_names_do_not_hide_articles():
     assert main_text("<div class='layout sidebar-page'><article><p>story</p><p class=related>x</p></article><div>side</div></div>") == "story"
     assert main_text("<div id=page class='no-sidebar hasComments'><p>story</p><div class=sidebar>x</div></div>") == "story"
