@@ -93,7 +93,27 @@ def op10_html_wrappers(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_line_dedup, op3_warc_derivatives, op4_decontamination, op5_pivot_search, op6_packing, op7_ngram_join, op8_substring_dedup, op9_chat_snapshots, op10_html_wrappers)}
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from corpusloom.llm.spelling import spelling_variants
+
+    return spelling_variants(_table(spark, folder, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    from corpusloom.llm.divergence import source_divergence
+
+    return source_divergence(_table(spark, folder, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from corpusloom.llm.toxicity import THRESHOLD, held_out, score, train
+
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    scored = score(docs, train(docs, _table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_line_dedup, op3_warc_derivatives, op4_decontamination, op5_pivot_search, op6_packing, op7_ngram_join, op8_substring_dedup, op9_chat_snapshots, op10_html_wrappers, op11_spelling_variants, op12_source_divergence, op13_toxicity)}
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -180,4 +200,71 @@ ORACLES = {
         )
         select conv_id, count(*) as n_turns, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' order by k) as text
         from numbered join whole using (conv_id) group by conv_id""",
+    "op11_spelling_variants": r"""
+        with recursive doc as (
+            select coalesce(doc_id::varchar, '') || ':' as mark, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+        ), run as (
+            select mark, r, count(*) as n from (select mark, unnest(regexp_extract_all(t, '[A-Za-zÀ-ÿ]+')) as r from doc) group by all
+        ), polynomial as (
+            select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+            from (select unnest(range(256))::bigint as i)
+        ), bytes as (
+            select mark, r, n, list_prepend(4294967295::bigint, flatten(list_transform(string_split(mark || r, ''),
+                   lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [195::bigint, unicode(c)::bigint - 64] end))) as b from run
+        ), hashed as (
+            select r, n, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) as h from bytes, polynomial
+        ), spoiled as (
+            select case when h % 97 = 0 then substr(r, 1, h % length(r)) || substr(r, (h % length(r) + 2)::bigint) else r end as word, n from hashed
+        ), word as (
+            select word, sum(n)::bigint as n, length(word) as len from spoiled where length(word) >= 5 group by word having sum(n) >= 3
+        ), hole as (
+            select word, n, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail from (select *, unnest(range(1, len + 1)) as i from word)
+        ), near as (
+            select a.word, b.word as other, b.n as other_n from hole a join hole b using (i, head, tail) where a.word <> b.word
+            union select h.word, w.word, w.n from hole h join word w on w.word = h.head || h.tail
+            union select w.word, h.word, h.n from hole h join word w on w.word = h.head || h.tail
+        ), best as (
+            select word, count(*) as n_near, min(struct_pack(less := -other_n, other := encode(other))) as b from near group by word
+        ), formed as (
+            select w.word, w.n, coalesce(n_near, 0) as n_near, case when -b.less >= 2 * w.n then decode(b.other) end as form,
+                   case when -b.less >= 2 * w.n then -b.less end as form_n from word w left join best using (word)
+        ), way as (
+            select word, word as root, 0 as step from word
+            union all select way.word, f.form, step + 1 from way join formed f on f.word = way.root where f.form is not null
+        )
+        select f.word, form, root, n, n_near, form_n from formed f join (select word, max_by(root, step) as root from way group by word) using (word)""",
+    "op12_source_divergence": r"""
+        with doc as (
+            select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+        ), said as (
+            select d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from doc
+        ), kept as (
+            select lang, term, count(*) as q_n from said group by all having count(distinct d) >= 3
+        ), cell as (
+            select lang, source, term, count(*) as n from said join kept using (lang, term) group by all
+        ), grp as (
+            select lang, source, coalesce(any_value(v), 0) as v, coalesce(sum(n), 0) as total
+            from (select distinct lang, source from doc) left join cell using (lang, source) left join (select lang, count(*) as v from kept group by lang) using (lang)
+            group by all
+        ), whole as (
+            select lang, sum(q_n) as total from kept group by lang
+        ), every as (
+            select g.lang, g.source, k.term, coalesce(n, 0) as n, q_n, 1 + (1000000000::hugeint * (coalesce(n, 0) + 1)) // (g.total::hugeint + v) as p,
+                   1 + (1000000000::hugeint * (q_n + 1)) // (w.total::hugeint + v) as q
+            from grp g join kept k using (lang) join whole w using (lang) left join cell c on c.lang = g.lang and c.source = g.source and c.term = k.term
+        ), term as (
+            select lang, source, term as item, ((p - q) * (p - q)) // q as value from every where n > 0 and p > q
+        ), summed as (
+            select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+            from every a join every b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+        ), pair as (
+            select a.lang, a.source, b.source as item, coalesce(value, 0) as value
+            from grp a join grp b on a.lang = b.lang and a.source <> b.source left join summed s on s.lang = a.lang and s.source = a.source and s.item = b.source
+        ), ranked as (
+            select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, encode(item)) as rank from pair
+            union all
+            select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, encode(item)) from term
+        )
+        select lang, source, part, item, value::bigint as value, rank::integer as rank from ranked where part = 'pair' or rank <= 200""",
 }
