@@ -14,7 +14,6 @@ from corpusloom.functions.columns import day_stamp
 from corpusloom.operators import harmonize
 from corpusloom.operators.combine import combine
 from corpusloom.operators.dedup import DedupResult, deduplicate
-from corpusloom.operators.embed import embed_tfidf
 from corpusloom.operators.stats import source_stats, split_balance, total_stats, value_counts
 from corpusloom.operators.training import formatted, training_rows
 from corpusloom.sinks import tables as sinks
@@ -71,7 +70,7 @@ def build_training_set(
     root: str,
     model: str = "llama3.2",
     day: str | None = None,
-    embed: Callable[[DataFrame], DataFrame] = embed_tfidf,
+    embed: Callable[[DataFrame], DataFrame] | None = None,
     threshold: float = rules.SIMILARITY_THRESHOLD,
     semantic: bool = True,
     seed: int = rules.SEED,

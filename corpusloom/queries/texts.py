@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.functions import columns as C
-from corpusloom.operators import dedup, similarity, spans, training
+from corpusloom.operators import dedup, similarity, spans, sparse, training
 from corpusloom.operators.chat import chat_text, classification_prompt
-from corpusloom.operators.embed import embed_tfidf
 from corpusloom.queries.registry import Tables, query
 from corpusloom.queries.shared import BINARY_SQL, labelled
 from corpusloom.session import materialize
@@ -235,10 +234,30 @@ def semantic_dedup(t: Tables) -> DataFrame:
     return similarity.semantic_dedup(t.embeddings, "vec_id", "embedding", THRESHOLD).select("vec_id", "label")
 
 
-@query("q_text_dedup")
+@query(
+    "q_text_dedup",
+    f"""
+    with recursive
+        doc as (select doc_id, source, text from (select *, row_number() over (partition by text order by doc_id) as k from documents) where k = 1),
+        word as (select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '{C.TOKEN_PATTERN}')) as w from doc),
+        term as (select doc_id, w, count(*) as tf from word group by all),
+        often as (select w, ln(((select count(*) from doc) + 1) / (count(*) + 1)) as idf from term group by w),
+        weighed as (select doc_id, w, tf * idf as x from term join often using (w) where idf > 0),
+        unit as (select doc_id, w, x / sqrt(sum(x * x) over (partition by doc_id)) as x from weighed),
+        pairs as (select a.doc_id as i, b.doc_id as j from unit a join unit b on a.w = b.w and a.doc_id < b.doc_id
+                  group by all having sum(a.x * b.x) >= {rules.SIMILARITY_THRESHOLD} - 1e-12),
+        v as (select doc_id, row_number() over (order by doc_id) as rn from doc),
+        near as (select v.rn, coalesce(list(i) filter (where i is not null), []) as earlier
+                 from v left join pairs on v.doc_id = pairs.j group by v.rn),
+        kept as (
+            select 0::bigint as rn, []::bigint[] as ids
+            union all
+            select near.rn, case when list_has_any(near.earlier, kept.ids) then kept.ids else list_append(kept.ids, v.doc_id) end
+            from kept join near on near.rn = kept.rn + 1 join v on v.rn = near.rn)
+    select doc_id, source, text from doc where doc_id in (select unnest(ids) from kept where rn = (select max(rn) from v))
+    """,
+)
 def text_dedup(t: Tables) -> DataFrame:
-    """Texts embedded as tf-idf, then de-duplicated at the default threshold."""
-    unique = materialize(dedup.exact_dedup(t.documents, ["doc_id"]), "unique")
-    vectors = materialize(embed_tfidf(unique.select("doc_id", "text")).select("doc_id", "embedding"), "embedded")
-    kept = similarity.greedy_kept(vectors, "doc_id", "embedding", rules.SIMILARITY_THRESHOLD)
-    return unique.join(kept, "doc_id", "left_semi").select("doc_id", "source", "text")
+    """Texts compared by their tf-idf vectors over the whole vocabulary, at the default threshold."""
+    unique = materialize(dedup.exact_dedup(t.documents, ["doc_id"]).select("doc_id", "source", "text"), "unique")
+    return sparse.dedup_texts(unique, "doc_id")

@@ -13,6 +13,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -50,6 +51,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A written table marked for broadcast if it has at most ``rows`` rows; else Spark joins it by shuffling."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan of few splits as many partitions as there are cores, for costly work per row.
 
