@@ -11,7 +11,7 @@ from corpusloom.operators import dedup, similarity, spans, sparse, training
 from corpusloom.operators.chat import chat_text, classification_prompt
 from corpusloom.queries.registry import Tables, query
 from corpusloom.queries.shared import BINARY_SQL, labelled
-from corpusloom.session import materialize
+from corpusloom.session import materialize, small
 
 # The test vectors hold no pair at the default threshold; this one splits them well.
 THRESHOLD = 0.35
@@ -238,16 +238,20 @@ def semantic_dedup(t: Tables) -> DataFrame:
     "q_text_dedup",
     f"""
     with recursive
-        doc as (select doc_id, source, text from (select *, row_number() over (partition by text order by doc_id) as k from documents) where k = 1),
+        doc as materialized (select doc_id, source, text from (select *, row_number() over (partition by text order by doc_id) as k from documents) where k = 1),
         word as (select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '{C.TOKEN_PATTERN}')) as w from doc),
         term as (select doc_id, w, count(*) as tf from word group by all),
-        often as (select w, ln(((select count(*) from doc) + 1) / (count(*) + 1)) as idf from term group by w),
-        weighed as (select doc_id, w, tf * idf as x from term join often using (w) where idf > 0),
-        unit as (select doc_id, w, x / sqrt(sum(x * x) over (partition by doc_id)) as x from weighed),
-        pairs as (select a.doc_id as i, b.doc_id as j from unit a join unit b on a.w = b.w and a.doc_id < b.doc_id
+        often as (select w, count(*) as n, ln(((select count(*) from doc) + 1) / (count(*) + 1)) as idf from term group by w),
+        weighed as (select doc_id, w, n, tf * idf as x from term join often using (w) where idf > 0),
+        unit as materialized (select doc_id, w, n, x / sqrt(sum(x * x) over (partition by doc_id)) as x from weighed),
+        -- Similar texts share a term from which on either has at least the threshold left, rarest terms first.
+        early as materialized (select doc_id, w from (select doc_id, w, n, sqrt(sum(x * x) over (partition by doc_id order by n desc, w)) as rest from unit)
+                  where n > 1 and rest >= {rules.SIMILARITY_THRESHOLD} - 1e-9),
+        met as (select distinct a.doc_id as i, b.doc_id as j from early a join early b on a.w = b.w and a.doc_id < b.doc_id),
+        pairs as materialized (select i, j from met join unit a on a.doc_id = i join unit b on b.doc_id = j and b.w = a.w
                   group by all having sum(a.x * b.x) >= {rules.SIMILARITY_THRESHOLD} - 1e-12),
-        v as (select doc_id, row_number() over (order by doc_id) as rn from doc),
-        near as (select v.rn, coalesce(list(i) filter (where i is not null), []) as earlier
+        v as materialized (select doc_id, row_number() over (order by doc_id) as rn from doc),
+        near as materialized (select v.rn, coalesce(list(i) filter (where i is not null), []) as earlier
                  from v left join pairs on v.doc_id = pairs.j group by v.rn),
         kept as (
             select 0::bigint as rn, []::bigint[] as ids
@@ -259,5 +263,6 @@ def semantic_dedup(t: Tables) -> DataFrame:
 )
 def text_dedup(t: Tables) -> DataFrame:
     """Texts compared by their tf-idf vectors over the whole vocabulary, at the default threshold."""
-    unique = materialize(dedup.exact_dedup(t.documents, ["doc_id"]).select("doc_id", "source", "text"), "unique")
-    return sparse.dedup_texts(unique, "doc_id")
+    docs = t.documents.select("doc_id", "source", "text")
+    copies = materialize(dedup.exact_copies(docs, "doc_id"), "copies")
+    return sparse.dedup_texts(docs.join(small(copies), "doc_id", "left_anti"), "doc_id")
