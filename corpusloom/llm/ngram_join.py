@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ _LED = 3
 #: Members of a component that the documents outside it meet in a round, and the rounds before all others are met.
 _MEMBERS, _TURNS = 8, 2
 _BLOCK = 16384
+#: Text whose sets a task holds at a time.
+PART_BYTES = 2 << 20
 
 
 def shingles(body: bytes, n: int) -> np.ndarray:
@@ -96,6 +99,20 @@ class PrefixTree:
                 yield number, int(counts[depth])
 
 
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of batches of ``body``, of one document or of at most ``PART_BYTES`` of text: sets take more room than texts."""
+    for batch in batches:
+        start, held = 0, 0
+        sizes = pc.binary_length(batch.column("body")).to_pylist()
+        for i, size in enumerate(sizes):
+            if held and held + size > PART_BYTES:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += size
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
 def _profiles(docs: DataFrame, n: int) -> DataFrame:
     """One pass: ``doc, size, digest`` of every document, and blocks of the counts of n-grams by leading bits."""
     schema = pa.schema([("doc", pa.int64()), ("size", pa.int64()), ("digest", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())])
@@ -104,8 +121,8 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
         total = np.zeros(1 << ORDER_BITS, np.int64)
         for batch in batches:
             sizes, digests = [], []
-            for body in batch.column("body").to_pylist():
-                own = shingles(body, n)
+            for body in batch.column("body"):
+                own = shingles(body.as_py(), n)
                 sizes.append(len(own))
                 digests.append(xxh3_128_digest(own.tobytes()))
                 np.add.at(total, (own >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
@@ -141,18 +158,17 @@ def _rare(docs: DataFrame, n: int, percent: int, ranks: Broadcast) -> DataFrame:
     schema = pa.schema([("token", pa.int64()), ("doc", pa.int64()), ("place", pa.int32())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             tokens, sizes = [], []
-            for body in batch.column("body").to_pylist():
-                own = common_last(shingles(body, n), ranks.value)
+            for body in batch.column("body"):
+                own = common_last(shingles(body.as_py(), n), ranks.value)
                 # A similar set has at least this many of ours; one more than the rest must hold one.
                 first = len(own) - -(-percent * len(own) // 100) + 1 if len(own) else 0
                 tokens.append(own[:first])
                 sizes.append(first)
-            if sizes:
-                places = [np.arange(s, dtype=np.int32) for s in sizes]
-                docs_of = np.repeat(batch.column("doc").to_numpy(), sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(docs_of), pa.array(np.concatenate(places))], schema=schema)
+            places = [np.arange(s, dtype=np.int32) for s in sizes]
+            docs_of = np.repeat(batch.column("doc").to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(docs_of), pa.array(np.concatenate(places))], schema=schema)
 
     return docs.mapInArrow(read, "token long, doc long, place int")
 
@@ -162,8 +178,8 @@ def _sets(docs: DataFrame, n: int, ranks: Broadcast) -> DataFrame:
     schema = pa.schema([("doc", pa.int64()), ("held", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [common_last(shingles(body, n), ranks.value).tobytes() for body in batch.column("body").to_pylist()]
+        for batch in in_parts(batches):
+            held = [common_last(shingles(body.as_py(), n), ranks.value).tobytes() for body in batch.column("body")]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(held, pa.binary())], schema=schema)
 
     return docs.mapInArrow(read, "doc long, held binary")

@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from corpusloom.llm import queries
 from corpusloom.llm.components import components
 from corpusloom.llm.decontamination import contamination
 from corpusloom.llm.line_dedup import dedup_lines
-from corpusloom.llm.ngram_join import ngram_components
+from corpusloom.llm.ngram_join import in_parts, ngram_components
 from corpusloom.llm.packing import WordIds, pack
 from corpusloom.llm.quality import fit_forest, score, statistics, train
 from corpusloom.llm.substring_dedup import remove_repeats
@@ -47,6 +48,16 @@ def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+@pytest.mark.parametrize("limit", [1, 50, 10**6])
+def test_parts_of_batches_are_bounded_and_whole(monkeypatch, limit):
+    monkeypatch.setattr("corpusloom.llm.ngram_join.PART_BYTES", limit)
+    bodies = [(t or "").encode() for t in some_docs()]
+    batches = [pa.RecordBatch.from_pydict({"body": pa.array(b, pa.binary())}) for b in (bodies[:20], [], bodies[20:])]
+    parts = [p.column("body").to_pylist() for p in in_parts(iter(batches))]
+    assert [b for p in parts for b in p] == bodies
+    assert all(p and (sum(map(len, p)) <= limit or sum(len(b) > 0 for b in p) == 1) for p in parts)
+
+
 def texts_by_id():
     return dict(enumerate(some_docs()))
 
