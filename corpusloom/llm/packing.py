@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import as_batch
+from corpusloom.llm.ngram_join import in_parts
 from corpusloom.session import materialize
 
 LENGTH = 2048
@@ -25,6 +27,9 @@ END_ID = 1
 MERGED_PARTITIONS = 64
 #: Words, and pieces of words, whose ids a worker process remembers.
 REMEMBERED = 500_000
+#: Pieces of words that the tokenizer gets as one text.
+JOINED = 256
+_MARK = "0"
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -41,6 +46,9 @@ class WordIds:
     text are those of its words, one after the other. This one also ignores case and parts letters from
     other signs, so words of plain letters and signs are put together from their pieces, of which there are
     fewer. Digits, apostrophes, special tokens and everything beyond Latin-1 letters go to the tokenizer whole.
+
+    New pieces are encoded many at a time as one text, with ``_MARK`` between them: a digit is a token of its own
+    and no piece of letters or signs holds one.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,26 +56,52 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._mark = self._tokenizer.encode(_MARK, add_special_tokens=False).ids
         self._words: dict[bytes, bytes] = {}
         self._pieces: dict[str, bytes] = {}
 
-    def ids(self, text: bytes) -> bytes:
-        words = text.split()
-        if len(self._words) > REMEMBERED:
-            self._words.clear()
-        parts = {}
-        for word in set(words).difference(self._words):
+    def _encode(self, pieces: list[str], joined: bool) -> Iterator[tuple[str, bytes]]:
+        step = JOINED if joined and len(self._mark) == 1 else 1
+        groups = [pieces[i : i + step] for i in range(0, len(pieces), step)]
+        for group, made in zip(groups, self._tokenizer.encode_batch_fast([_MARK.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(made.ids, "<u4")
+            raw = ids.tobytes()
+            marks = 4 * np.flatnonzero(ids == self._mark[0]) if step > 1 else ids[:0]
+            starts, stops = [0, *(marks + 4).tolist()], [*marks.tolist(), len(raw)]
+            yield from ((piece, raw[a:b]) for piece, a, b in zip(group, starts, stops, strict=True))
+
+    def learn(self, texts: list[bytes]) -> None:
+        """Remember the words of the texts, of which there should be some MB at most: what is remembered is bounded before that."""
+        self._words, self._pieces = _newer(self._words), _newer(self._pieces)
+        new = set()
+        for text in texts:
+            new.update(text.split())
+        parts, plain, whole = {}, set(), set()
+        for word in new.difference(self._words):
             shown = word.decode()
-            parts[word] = _PIECES.findall(shown.lower()) if _SIMPLE.fullmatch(shown) and "<|" not in shown else [shown]
-        needed = {p for own in parts.values() for p in own}
-        if len(self._pieces) > REMEMBERED:
-            self._pieces.clear()
-        new = [p for p in needed if p not in self._pieces]
-        for piece, made in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
-            self._pieces[piece] = np.array(made.ids, "<u4").tobytes()
+            if _SIMPLE.fullmatch(shown) and "<|" not in shown:
+                parts[word] = _PIECES.findall(shown.lower())
+                plain.update(parts[word])
+            else:
+                parts[word] = [shown]
+                whole.add(shown)
+        for pieces, joined in ((plain, True), (whole, False)):
+            self._pieces.update(self._encode([p for p in pieces if p not in self._pieces], joined))
         for word, own in parts.items():
             self._words[word] = self._pieces[own[0]] if len(own) == 1 else b"".join([self._pieces[p] for p in own])
-        return b"".join(map(self._words.__getitem__, words))
+
+    def ids(self, text: bytes) -> bytes:
+        words = text.split()
+        try:
+            return b"".join(map(self._words.__getitem__, words))
+        except KeyError:
+            self.learn([text])
+            return b"".join(map(self._words.__getitem__, words))
+
+
+def _newer(known: dict) -> dict:
+    """What is remembered, without its older half if that is too much."""
+    return known if len(known) <= REMEMBERED else dict(islice(known.items(), len(known) // 2, None))
 
 
 @cache
@@ -163,8 +197,10 @@ def pack(
         part = TaskContext.get().partitionId()
         words, packer, number = word_ids(tokenizer), Packer(length, n_open), part << 32
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            for doc, body in zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist()):
+        for batch in in_parts(batches):
+            bodies = batch.column("body").to_pylist()
+            words.learn(bodies)
+            for doc, body in zip(batch.column("doc_id").to_pylist(), bodies):
                 ids = np.frombuffer(words.ids(body) + end, "<u4")
                 packer.put((doc, len(ids)), ids)
             yield as_batch([(*row, None, None) for row in _rows(packer.done, number)], schema)
