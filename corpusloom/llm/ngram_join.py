@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ _LED = 3
 #: Members of a component that the documents outside it meet in a round, and the rounds before all others are met.
 _MEMBERS, _TURNS = 8, 2
 _BLOCK = 16384
-#: Text whose sets a task holds at a time.
+#: Tables of counts that are added in one group.
+_ADDED = 64
+#: Text, or sets, that a task works on at a time.
 PART_BYTES = 2 << 20
 
 
@@ -99,11 +102,11 @@ class PrefixTree:
                 yield number, int(counts[depth])
 
 
-def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of batches of ``body``, of one document or of at most ``PART_BYTES`` of text: sets take more room than texts."""
+def in_parts(batches: Iterator[pa.RecordBatch], column: str = "body") -> Iterator[pa.RecordBatch]:
+    """Slices of batches, of one row or of at most ``PART_BYTES`` in ``column``: sets take more room than texts."""
     for batch in batches:
         start, held = 0, 0
-        sizes = pc.binary_length(batch.column("body")).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
         for i, size in enumerate(sizes):
             if held and held + size > PART_BYTES:
                 yield batch.slice(start, i - start)
@@ -114,37 +117,42 @@ def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _profiles(docs: DataFrame, n: int) -> DataFrame:
-    """One pass: ``doc, size, digest`` of every document, and blocks of the counts of n-grams by leading bits."""
-    schema = pa.schema([("doc", pa.int64()), ("size", pa.int64()), ("digest", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())])
+    """The only pass over texts: ``doc, size, digest, held`` of every document, its set as ascending hashes, and blocks of the
+    counts of n-grams by leading bits, with the number of the task as ``part``."""
+    fields = [("doc", pa.int64()), ("size", pa.int64()), ("digest", pa.binary()), ("held", pa.binary()), ("part", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())]
+    schema = pa.schema(fields)
+
+    def rows(n_rows: int, **columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[name], kind) if name in columns else pa.nulls(n_rows, kind) for name, kind in fields], schema=schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << ORDER_BITS, np.int64)
-        for batch in batches:
-            sizes, digests = [], []
-            for body in batch.column("body"):
-                own = shingles(body.as_py(), n)
-                sizes.append(len(own))
-                digests.append(xxh3_128_digest(own.tobytes()))
-                np.add.at(total, (own >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
-            none = pa.nulls(len(sizes))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
+        total, low = np.zeros(1 << ORDER_BITS, np.int64), np.uint64(64 - ORDER_BITS)
+        for batch in in_parts(batches):
+            sets = [shingles(body.as_py(), n) for body in batch.column("body")]
+            held = [own.tobytes() for own in sets]
+            np.add.at(total, np.concatenate([own >> low for own in sets]).astype(np.int64), 1)
+            yield rows(len(sets), doc=batch.column("doc").to_pylist(), size=[len(own) for own in sets], digest=[xxh3_128_digest(h) for h in held], held=held)
         parts = [total[i : i + _BLOCK].tobytes() for i in range(0, len(total), _BLOCK)]
-        none = pa.nulls(len(parts))
-        yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
+        yield rows(len(parts), part=[TaskContext.get().partitionId()] * len(parts), block=range(len(parts)), counts=parts)
 
-    return docs.mapInArrow(read, "doc long, size long, digest binary, block int, counts binary")
+    return docs.mapInArrow(read, "doc long, size long, digest binary, held binary, part long, block int, counts binary")
 
 
 def _ranks(profiles: DataFrame) -> np.ndarray:
-    """The rank of each leading-bits value by its count over all documents: a table of fixed size."""
+    """The rank of each leading-bits value by its count over all documents: a table of fixed size.
+
+    Tasks' counts are added ``_ADDED`` at a time, level by level, so that a group is of a fixed size, too.
+    """
 
     def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.frombuffer(c, np.int64) for c in parts["counts"]], axis=0, dtype=np.int64)
-        return pd.DataFrame({"block": [key[0]], "salt": [0], "counts": [total.tobytes()]})
+        return pd.DataFrame({"block": [key[0]], "part": [key[1]], "counts": [total.tobytes()]})
 
-    parts = profiles.filter("block is not null").select("block", F.pmod(F.xxhash64("counts"), F.lit(64)).cast("int").alias("salt"), "counts")
-    half = parts.groupBy("block", "salt").applyInPandas(add, "block int, salt int, counts binary")
-    summed = half.groupBy("block").applyInPandas(add, "block int, salt int, counts binary")
+    summed = profiles.filter("block is not null").select("block", "part", "counts")
+    tasks = (summed.agg(F.max("part")).first()[0] or 0) + 1
+    while tasks > 1:
+        summed = summed.groupBy("block", F.floor(F.col("part") / _ADDED).alias("part")).applyInPandas(add, "block int, part long, counts binary")
+        tasks = -(-tasks // _ADDED)
     counts = np.zeros(1 << ORDER_BITS, np.int64)
     for row in summed.collect():  # a table of 2 ** ORDER_BITS numbers whatever the input
         counts[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(bytes(row["counts"]), np.int64)
@@ -153,15 +161,15 @@ def _ranks(profiles: DataFrame) -> np.ndarray:
     return ranks
 
 
-def _rare(docs: DataFrame, n: int, percent: int, ranks: Broadcast) -> DataFrame:
+def _rare(sets: DataFrame, percent: int, ranks: Broadcast) -> DataFrame:
     """``token, doc, place``: the rarest n-grams of each document, so many that similar sets share one of them."""
     schema = pa.schema([("token", pa.int64()), ("doc", pa.int64()), ("place", pa.int32())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches):
+        for batch in in_parts(batches, "held"):
             tokens, sizes = [], []
-            for body in batch.column("body"):
-                own = common_last(shingles(body.as_py(), n), ranks.value)
+            for held in batch.column("held"):
+                own = common_last(np.frombuffer(held.as_py(), np.uint64), ranks.value)
                 # A similar set has at least this many of ours; one more than the rest must hold one.
                 first = len(own) - -(-percent * len(own) // 100) + 1 if len(own) else 0
                 tokens.append(own[:first])
@@ -170,19 +178,19 @@ def _rare(docs: DataFrame, n: int, percent: int, ranks: Broadcast) -> DataFrame:
             docs_of = np.repeat(batch.column("doc").to_numpy(), sizes)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(docs_of), pa.array(np.concatenate(places))], schema=schema)
 
-    return docs.mapInArrow(read, "token long, doc long, place int")
+    return sets.mapInArrow(read, "token long, doc long, place int")
 
 
-def _sets(docs: DataFrame, n: int, ranks: Broadcast) -> DataFrame:
+def _ordered(sets: DataFrame, ranks: Broadcast) -> DataFrame:
     """``doc`` and its whole set in the global order, as bytes."""
     schema = pa.schema([("doc", pa.int64()), ("held", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches):
-            held = [common_last(shingles(body.as_py(), n), ranks.value).tobytes() for body in batch.column("body")]
+        for batch in in_parts(batches, "held"):
+            held = [common_last(np.frombuffer(h.as_py(), np.uint64), ranks.value).tobytes() for h in batch.column("held")]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(held, pa.binary())], schema=schema)
 
-    return docs.mapInArrow(read, "doc long, held binary")
+    return sets.mapInArrow(read, "doc long, held binary")
 
 
 def _least(size: Column, percent: int) -> Column:
@@ -219,11 +227,11 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("doc_x", "doc").alias("x"), F.greatest("doc_x", "doc").alias("y")).distinct()
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int, ranks: Broadcast) -> DataFrame:
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int, ranks: Broadcast) -> DataFrame:
     """The pairs (x, y) that are similar. The y's of an x go to prefix trees of bounded size, x walks each of them."""
     pairs = materialize(pairs, "pairs")
     involved = small(materialize(pairs.select(F.col("x").alias("doc")).union(pairs.select("y")).distinct(), "involved"))
-    sets = _sets(texts.join(involved, "doc", "left_semi"), n, ranks)
+    sets = _ordered(sets.join(involved, "doc", "left_semi"), ranks)
     # Rows with one id are one document; the largest set stands for it, as in its size.
     sets = materialize(sets.groupBy("doc").agg(F.max_by("held", F.length("held")).alias("held")), "sets")
     n_trees = F.ceil(F.col("n") / TREE_SETS).cast("int")
@@ -231,16 +239,15 @@ def _verified(texts: DataFrame, pairs: DataFrame, n: int, percent: int, ranks: B
     stored = pairs.join(counted, "x").select("x", F.col("y").alias("doc"), F.pmod(F.xxhash64("y"), F.col("trees")).cast("int").alias("tree"))
     probes = counted.select("x", F.col("x").alias("doc"), F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"))
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows["x"].iloc[0]
-        own = rows["doc"] == x
-        probe = np.frombuffer(rows.loc[own, "held"].iloc[0], np.uint64)
-        others = rows.loc[~own]
-        tree = PrefixTree([np.frombuffer(h, np.uint64) for h in others["held"]])
-        found = [others["doc"].iloc[i] for i, _ in tree.similar(probe, percent)]
-        return pd.DataFrame({"x": [x] * len(found), "y": found}, columns=["x", "y"]).astype("int64")
+    def walk(rows: pa.Table) -> pa.Table:
+        x, docs, held = rows["x"][0].as_py(), rows["doc"].to_pylist(), rows["held"].to_pylist()
+        at = docs.index(x)
+        others = [i for i in range(len(docs)) if docs[i] != x]
+        tree = PrefixTree([np.frombuffer(held[i], np.uint64) for i in others])
+        found = [docs[others[i]] for i, _ in tree.similar(np.frombuffer(held[at], np.uint64), percent)]
+        return pa.table({"x": pa.array([x] * len(found), pa.int64()), "y": pa.array(found, pa.int64())})
 
-    return stored.unionByName(probes).join(sets, "doc").groupBy("x", "tree").applyInPandas(walk, "x long, y long")
+    return stored.unionByName(probes).join(sets, "doc").groupBy("x", "tree").applyInArrow(walk, "x long, y long")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -248,8 +255,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Two documents link when ``100 * intersection >= percent * union``. Exact, in these steps:
 
-    1. One pass reads each document's size and digest, and counts n-grams by ``ORDER_BITS`` bits of their hash, which fixes
-       the global order (any order is right; this one has common n-grams last). Equal sets become one.
+    1. One pass over the texts writes each document's size, digest and set of hashes, which all later steps read, and counts
+       n-grams by ``ORDER_BITS`` bits of their hash, which fixes the global order (any order is right; this one has common
+       n-grams last). Equal sets become one.
     2. The rarest n-grams of each document are counted; only those that two documents share are kept.
     3. Each document is compared with the smallest document of the n-grams it shares, its leader, if they share
        many. So a large group of near copies costs a comparison or two per document, not one per pair. What is
@@ -266,9 +274,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     profiles = materialize(_profiles(texts, n), "profiles")
     ranks = spark.sparkContext.broadcast(_ranks(profiles))
     known = profiles.filter("block is null").select("doc", "size", "digest")
+    sets = profiles.filter("block is null").select("doc", "held")
     first = known.filter("size > 0").groupBy("digest").agg(F.min("doc").alias("first"))
 
-    rare = _rare(texts, n, percent, ranks)
+    rare = _rare(sets, percent, ranks)
     # Written, so that the join below is of two plain shuffles, whose large partitions can be split.
     met = rare.groupBy("token").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"))
     met = materialize(met.filter("leader <> last").select("token", "leader"), "met")
@@ -278,7 +287,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # A first round that may miss links: it only saves the second one from comparing large groups of near copies.
     led = shared.filter("doc <> leader").groupBy(F.col("leader").alias("x"), F.col("doc").alias("y")).agg(F.count("*").alias("n"), F.max("size").alias("size"))
     led = led.filter(_LED * F.col("n") >= F.col("size") - _least(F.col("size"), percent)).select("x", "y")
-    links = materialize(_verified(texts, led, n, percent, ranks), "links")
+    links = materialize(_verified(sets, led, percent, ranks), "links")
     label = components(links)
 
     placed = _labelled(shared.drop("leader"), label)
@@ -293,14 +302,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         members = [F.min_by(member, F.xxhash64("doc", F.lit(turn * _MEMBERS + i))) for i in range(_MEMBERS)]
         chosen = open_rows.filter("component = main").groupBy("token").agg(F.array_distinct(F.array(*members)).alias("members"))
         some = _outside(open_rows).join(chosen, "token").withColumn("member", F.explode("members")).select("*", "member.*").filter(_may(percent))
-        more = _verified(texts, _pairs(some).join(links, ["x", "y"], "left_anti"), n, percent, ranks)
+        more = _verified(sets, _pairs(some).join(links, ["x", "y"], "left_anti"), percent, ranks)
         links = materialize(links.unionByName(more), "links")
         label = components(links)
         open_rows = materialize(_mixed(_labelled(open_rows.drop("component", "main"), label)).drop("n"), "open")
 
     minor = _outside(open_rows)
     each = minor.join(open_rows, "token").filter(_may(percent) & ((F.col("component") == F.col("main")) | (F.col("doc_x") < F.col("doc"))))
-    rest = _verified(texts, _pairs(each).join(links, ["x", "y"], "left_anti"), n, percent, ranks)
+    rest = _verified(sets, _pairs(each).join(links, ["x", "y"], "left_anti"), percent, ranks)
     copies = known.join(first, "digest").filter("doc <> first").select(F.col("first").alias("x"), F.col("doc").alias("y"))
     final = components(links.unionByName(rest).unionByName(copies))
 
