@@ -8,6 +8,7 @@ They are compared by storing sets in a prefix tree, common n-grams first, and wa
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -117,9 +118,8 @@ def in_parts(batches: Iterator[pa.RecordBatch], column: str = "body") -> Iterato
 
 
 def _profiles(docs: DataFrame, n: int) -> DataFrame:
-    """The only pass over texts: ``doc, size, digest, held`` of every document, its set as ascending hashes, and blocks of the
-    counts of n-grams by leading bits, with the number of the task as ``part``."""
-    fields = [("doc", pa.int64()), ("size", pa.int64()), ("digest", pa.binary()), ("held", pa.binary()), ("part", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())]
+    """``doc, size, digest`` of every document, and blocks of the counts of n-grams by leading bits, with the number of the task as ``part``."""
+    fields = [("doc", pa.int64()), ("size", pa.int64()), ("digest", pa.binary()), ("part", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())]
     schema = pa.schema(fields)
 
     def rows(n_rows: int, **columns: list) -> pa.RecordBatch:
@@ -129,13 +129,12 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
         total, low = np.zeros(1 << ORDER_BITS, np.int64), np.uint64(64 - ORDER_BITS)
         for batch in in_parts(batches):
             sets = [shingles(body.as_py(), n) for body in batch.column("body")]
-            held = [own.tobytes() for own in sets]
             np.add.at(total, np.concatenate([own >> low for own in sets]).astype(np.int64), 1)
-            yield rows(len(sets), doc=batch.column("doc").to_pylist(), size=[len(own) for own in sets], digest=[xxh3_128_digest(h) for h in held], held=held)
+            yield rows(len(sets), doc=batch.column("doc").to_pylist(), size=[len(own) for own in sets], digest=[xxh3_128_digest(own.tobytes()) for own in sets])
         parts = [total[i : i + _BLOCK].tobytes() for i in range(0, len(total), _BLOCK)]
         yield rows(len(parts), part=[TaskContext.get().partitionId()] * len(parts), block=range(len(parts)), counts=parts)
 
-    return docs.mapInArrow(read, "doc long, size long, digest binary, held binary, part long, block int, counts binary")
+    return docs.mapInArrow(read, "doc long, size long, digest binary, part long, block int, counts binary")
 
 
 def _ranks(profiles: DataFrame) -> np.ndarray:
@@ -161,36 +160,33 @@ def _ranks(profiles: DataFrame) -> np.ndarray:
     return ranks
 
 
-def _rare(sets: DataFrame, percent: int, ranks: Broadcast) -> DataFrame:
-    """``token, doc, place``: the rarest n-grams of each document, so many that similar sets share one of them."""
-    schema = pa.schema([("token", pa.int64()), ("doc", pa.int64()), ("place", pa.int32())])
+def _rare(docs: DataFrame, n: int, percent: int, ranks: Broadcast) -> DataFrame:
+    """``token, doc``: the rarest n-grams of each document, so many that similar sets share one of them."""
+    schema = pa.schema([("token", pa.int64()), ("doc", pa.int64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches, "held"):
-            tokens, sizes = [], []
-            for held in batch.column("held"):
-                own = common_last(np.frombuffer(held.as_py(), np.uint64), ranks.value)
+        for batch in in_parts(batches):
+            tokens = []
+            for body in batch.column("body"):
+                own = common_last(shingles(body.as_py(), n), ranks.value)
                 # A similar set has at least this many of ours; one more than the rest must hold one.
-                first = len(own) - -(-percent * len(own) // 100) + 1 if len(own) else 0
-                tokens.append(own[:first])
-                sizes.append(first)
-            places = [np.arange(s, dtype=np.int32) for s in sizes]
-            docs_of = np.repeat(batch.column("doc").to_numpy(), sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(docs_of), pa.array(np.concatenate(places))], schema=schema)
+                tokens.append(own[: len(own) - -(-percent * len(own) // 100) + 1 if len(own) else 0])
+            docs_of = np.repeat(batch.column("doc").to_numpy(), [len(own) for own in tokens])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(docs_of)], schema=schema)
 
-    return sets.mapInArrow(read, "token long, doc long, place int")
+    return docs.mapInArrow(read, "token long, doc long")
 
 
-def _ordered(sets: DataFrame, ranks: Broadcast) -> DataFrame:
+def _sets(docs: DataFrame, n: int, ranks: Broadcast) -> DataFrame:
     """``doc`` and its whole set in the global order, as bytes."""
     schema = pa.schema([("doc", pa.int64()), ("held", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches, "held"):
-            held = [common_last(np.frombuffer(h.as_py(), np.uint64), ranks.value).tobytes() for h in batch.column("held")]
+        for batch in in_parts(batches):
+            held = [common_last(shingles(body.as_py(), n), ranks.value).tobytes() for body in batch.column("body")]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(held, pa.binary())], schema=schema)
 
-    return sets.mapInArrow(read, "doc long, held binary")
+    return docs.mapInArrow(read, "doc long, held binary")
 
 
 def _least(size: Column, percent: int) -> Column:
@@ -227,13 +223,20 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("doc_x", "doc").alias("x"), F.greatest("doc_x", "doc").alias("y")).distinct()
 
 
-def _verified(sets: DataFrame, pairs: DataFrame, percent: int, ranks: Broadcast) -> DataFrame:
-    """The pairs (x, y) that are similar. The y's of an x go to prefix trees of bounded size, x walks each of them."""
+def _verified(texts: DataFrame, pairs: DataFrame, made: list[DataFrame], n: int, percent: int, ranks: Broadcast) -> DataFrame:
+    """The pairs (x, y) that are similar. The y's of an x go to prefix trees of bounded size, x walks each of them.
+
+    ``made`` holds the tables of sets of the rounds before; this round adds one for documents that have none yet.
+    """
     pairs = materialize(pairs, "pairs")
-    involved = small(materialize(pairs.select(F.col("x").alias("doc")).union(pairs.select("y")).distinct(), "involved"))
-    sets = _ordered(sets.join(involved, "doc", "left_semi"), ranks)
+    involved = materialize(pairs.select(F.col("x").alias("doc")).union(pairs.select("y")).distinct(), "involved")
+    new = involved
+    for table in made:
+        new = new.join(table.select("doc"), "doc", "left_anti")
+    sets = _sets(texts.join(small(materialize(new, "new")), "doc", "left_semi"), n, ranks)
     # Rows with one id are one document; the largest set stands for it, as in its size.
-    sets = materialize(sets.groupBy("doc").agg(F.max_by("held", F.length("held")).alias("held")), "sets")
+    made.append(materialize(sets.groupBy("doc").agg(F.max_by("held", F.length("held")).alias("held")), "sets"))
+    sets = reduce(DataFrame.unionByName, made).join(small(involved), "doc", "left_semi")
     n_trees = F.ceil(F.col("n") / TREE_SETS).cast("int")
     counted = pairs.groupBy("x").agg(F.count("*").alias("n")).select("x", n_trees.alias("trees"))
     stored = pairs.join(counted, "x").select("x", F.col("y").alias("doc"), F.pmod(F.xxhash64("y"), F.col("trees")).cast("int").alias("tree"))
@@ -255,10 +258,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Two documents link when ``100 * intersection >= percent * union``. Exact, in these steps:
 
-    1. One pass over the texts writes each document's size, digest and set of hashes, which all later steps read, and counts
-       n-grams by ``ORDER_BITS`` bits of their hash, which fixes the global order (any order is right; this one has common
-       n-grams last). Equal sets become one.
-    2. The rarest n-grams of each document are counted; only those that two documents share are kept.
+    1. One pass reads each document's size and digest, and counts n-grams by ``ORDER_BITS`` bits of their hash, which fixes
+       the global order (any order is right; this one has common n-grams last). Equal sets become one.
+    2. The rarest n-grams of each document are written and counted; only those that two documents share are kept.
     3. Each document is compared with the smallest document of the n-grams it shares, its leader, if they share
        many. So a large group of near copies costs a comparison or two per document, not one per pair. What is
        still outside then meets a few members of the largest component of each n-gram, in a few rounds.
@@ -274,10 +276,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     profiles = materialize(_profiles(texts, n), "profiles")
     ranks = spark.sparkContext.broadcast(_ranks(profiles))
     known = profiles.filter("block is null").select("doc", "size", "digest")
-    sets = profiles.filter("block is null").select("doc", "held")
     first = known.filter("size > 0").groupBy("digest").agg(F.min("doc").alias("first"))
 
-    rare = _rare(sets, percent, ranks)
+    rare = materialize(_rare(texts, n, percent, ranks), "rare")
     # Written, so that the join below is of two plain shuffles, whose large partitions can be split.
     met = rare.groupBy("token").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"))
     met = materialize(met.filter("leader <> last").select("token", "leader"), "met")
@@ -287,14 +288,15 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # A first round that may miss links: it only saves the second one from comparing large groups of near copies.
     led = shared.filter("doc <> leader").groupBy(F.col("leader").alias("x"), F.col("doc").alias("y")).agg(F.count("*").alias("n"), F.max("size").alias("size"))
     led = led.filter(_LED * F.col("n") >= F.col("size") - _least(F.col("size"), percent)).select("x", "y")
-    links = materialize(_verified(sets, led, percent, ranks), "links")
+    made: list[DataFrame] = []
+    links = materialize(_verified(texts, led, made, n, percent, ranks), "links")
     label = components(links)
 
     placed = _labelled(shared.drop("leader"), label)
     open_rows = _mixed(materialize(placed, "placed"))
     # Of the n-grams that x and y share, the first in this order has all others after it in both documents.
     after = Window.partitionBy("doc").orderBy(F.desc("n"), F.desc("token"))
-    open_rows = materialize(open_rows.withColumn("left", F.row_number().over(after)).drop("place", "n"), "open")
+    open_rows = materialize(open_rows.withColumn("left", F.row_number().over(after)).drop("n"), "open")
 
     # Rounds that may miss links, too: documents meet a few members of the largest component, others each time.
     member = F.struct("doc", "size", "left", "component")
@@ -302,14 +304,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         members = [F.min_by(member, F.xxhash64("doc", F.lit(turn * _MEMBERS + i))) for i in range(_MEMBERS)]
         chosen = open_rows.filter("component = main").groupBy("token").agg(F.array_distinct(F.array(*members)).alias("members"))
         some = _outside(open_rows).join(chosen, "token").withColumn("member", F.explode("members")).select("*", "member.*").filter(_may(percent))
-        more = _verified(sets, _pairs(some).join(links, ["x", "y"], "left_anti"), percent, ranks)
+        more = _verified(texts, _pairs(some).join(links, ["x", "y"], "left_anti"), made, n, percent, ranks)
         links = materialize(links.unionByName(more), "links")
         label = components(links)
         open_rows = materialize(_mixed(_labelled(open_rows.drop("component", "main"), label)).drop("n"), "open")
 
     minor = _outside(open_rows)
     each = minor.join(open_rows, "token").filter(_may(percent) & ((F.col("component") == F.col("main")) | (F.col("doc_x") < F.col("doc"))))
-    rest = _verified(sets, _pairs(each).join(links, ["x", "y"], "left_anti"), percent, ranks)
+    rest = _verified(texts, _pairs(each).join(links, ["x", "y"], "left_anti"), made, n, percent, ranks)
     copies = known.join(first, "digest").filter("doc <> first").select(F.col("first").alias("x"), F.col("doc").alias("y"))
     final = components(links.unionByName(rest).unionByName(copies))
 
