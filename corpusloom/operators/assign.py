@@ -181,9 +181,27 @@ def predicted(tasks: DataFrame, n: int = 1, label: str = "yes") -> DataFrame:
     return tasks.where(nth_choice(F.col("predictions"), n) == label)
 
 
-def dispatch_report(tasks: DataFrame) -> DataFrame:
-    """Tasks sent and predictions made, per annotator."""
-    return tasks.groupBy("annotator").agg(
+def dispatch_report(tasks: DataFrame, annotators: DataFrame | None = None) -> DataFrame:
+    """Tasks sent and predictions made, per annotator; with ``annotators`` also those without a task, as zeros."""
+    counted = tasks.groupBy("annotator").agg(
         F.count(F.lit(1)).alias("annotations_sent"),
         count_where(F.col("predictions").isNotNull()).alias("predictions_generated"),
     )
+    if annotators is None:
+        return counted
+    zeros = {"annotations_sent": 0, "predictions_generated": 0}
+    return annotators.select("annotator").distinct().join(counted, "annotator", "full").na.fill(zeros)
+
+
+def dispatch_totals(tasks: DataFrame, pool: DataFrame, key: str = "corpusid_unique") -> DataFrame:
+    """One row: tasks sent, annotators with a task, predictions made, and rows of ``pool`` that no task was made of.
+
+    Rows of the pool without a ``key`` remain.
+    """
+    sent = tasks.select(F.col(f"data.{key}").alias(key))
+    left = pool.select(key).join(sent, key, "left_anti").agg(F.count(F.lit(1)))
+    return tasks.agg(
+        F.count(F.lit(1)).alias("total_dispatched"),
+        F.countDistinct("annotator").alias("n_annotators"),
+        count_where(F.col("predictions").isNotNull()).alias("predictions_generated"),
+    ).withColumn("remaining", left.scalar())

@@ -182,14 +182,7 @@ def shuffled_rank(t: Tables) -> DataFrame:
     return ranking.shuffled_rank(t.orders.select("o_orderkey"), "o_orderkey")
 
 
-@query(
-    "q_dispatch_report",
-    f"""
-    select annotator, count(*) as annotations_sent, count(*) as predictions_generated
-    from ({_ASSIGN_SQL}) group by annotator
-    """,
-)
-def dispatch_report(t: Tables) -> DataFrame:
+def _tasks(t: Tables) -> DataFrame:
     rows = assigned(t).join(t.documents.select("doc_id", "text"), "doc_id")
     keyed = predict_labels(rows).select(
         "annotator",
@@ -201,7 +194,44 @@ def dispatch_report(t: Tables) -> DataFrame:
         "prediction",
     )
     ids = t.spark.createDataFrame(list(zip(ANNOTATORS, range(1, 4))), "annotator string, annotator_id bigint")
-    return assign.dispatch_report(assign.build_tasks(keyed, ids, "prediction"))
+    return assign.build_tasks(keyed, ids, "prediction")
+
+
+@query(
+    "q_dispatch_report",
+    f"""
+    select annotator, count(*) as annotations_sent, count(*) as predictions_generated
+    from ({_ASSIGN_SQL}) group by annotator
+    """,
+)
+def dispatch_report(t: Tables) -> DataFrame:
+    return assign.dispatch_report(_tasks(t))
+
+
+@query(
+    "q_dispatch_all_annotators",
+    f"""
+    select a.annotator, count(s.annotator) as annotations_sent, count(s.annotator) as predictions_generated
+    from (select unnest([{", ".join(f"'{name}'" for name in (*ANNOTATORS, "spare"))}]) as annotator) a
+    left join ({_ASSIGN_SQL}) s on a.annotator = s.annotator group by a.annotator
+    """,
+)
+def dispatch_all_annotators(t: Tables) -> DataFrame:
+    known = t.spark.createDataFrame([(name,) for name in (*ANNOTATORS, "spare")], "annotator string")
+    return assign.dispatch_report(_tasks(t), known)
+
+
+@query(
+    "q_dispatch_totals",
+    f"""
+    select count(*) as total_dispatched, count(distinct annotator) as n_annotators, count(*) as predictions_generated,
+           (select count(*) from documents where doc_id not in (select doc_id from ({_ASSIGN_SQL}))) as remaining
+    from ({_ASSIGN_SQL})
+    """,
+)
+def dispatch_totals(t: Tables) -> DataFrame:
+    pool = t.documents.select(F.concat_ws("_", "doc_id", F.lit("0")).alias("corpusid_unique"))
+    return assign.dispatch_totals(_tasks(t), pool)
 
 
 _QUADRANT_SQL = """
