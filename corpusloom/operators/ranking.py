@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.functions.columns import hash_order
+from corpusloom.session import materialize
 
-# Up to this many rows per group Spark prunes groups before the shuffle.
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 # Leading hex digits of the md5 that name a rank bucket: 65,536 buckets, whatever the data size.
 BUCKET_DIGITS = 4
+# Fewer digits where each group has its own buckets: 4,096, so that counting them shrinks small tables too.
+GROUP_DIGITS = 3
+# Groups up to which the cuts of a seeded draw are broadcast; beyond, they are joined by shuffling.
+BROADCAST_GROUPS = 500_000
 
 
 def _ascending(order: Sequence[str | Column]) -> list[Column]:
@@ -33,34 +36,63 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
-def top_k_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], k: int, salts: int = 256
-) -> DataFrame:
+def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], k: int) -> DataFrame:
     """First ``k`` rows per group in ``order``.
 
-    Spark itself prunes every partition to ``k`` rows per group before the shuffle, up to the
-    configured ``k``. Above it, groups are ranked in salted slices first, so that no task sorts a
-    whole hot group.
+    For small ``k``, up to ``spark.sql.optimizer.windowGroupLimitThreshold``: Spark prunes every
+    partition to ``k`` rows per group before the shuffle. Whole rows are shuffled, so hot groups with
+    more to keep belong to ``sliced_top_k``, and seeded draws to ``shuffled_head``.
     """
-    ordering = _ascending(order)
-    if k > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
-        salt = F.pmod(F.xxhash64(*ordering), F.lit(salts))
-        slices = Window.partitionBy(*group, "_salt").orderBy(*ordering)
-        df = (
-            df.withColumn("_salt", salt)
-            .withColumn("_rn", F.row_number().over(slices))
-            .where(F.col("_rn") <= k)
-            .drop("_salt", "_rn")
-        )
-    window = Window.partitionBy(*group).orderBy(*ordering)
+    window = Window.partitionBy(*group).orderBy(*_ascending(order))
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= k).drop("_rn")
 
 
+def sliced_top_k(
+    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], key: str, k: int, slices: int = 256
+) -> DataFrame:
+    """First ``k`` rows per group in ``order``; slices of a group, by hash of ``key``, are ranked first.
+
+    No task sorts a whole hot group, for any ``k``.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(slices)))
+    return top_k_per_group(top_k_per_group(salted, [*group, "_salt"], order, k).drop("_salt"), group, order, k)
+
+
 def shuffled_head(
     df: DataFrame, group: Sequence[str], key: str, k: int, seed: int | str = rules.SEED
 ) -> DataFrame:
-    """The first ``k`` rows per group after a seeded shuffle; ``key`` must identify a row."""
-    return top_k_per_group(df, group, [hash_order(F.col(key), seed), F.col(key)], k)
+    """The first ``k`` rows per group after a seeded shuffle, for any ``k``.
+
+    Groups are cut by comparing each row with the hash and key of its group's ``k``-th row, so rows
+    stay where they are: only counts per group and hash bucket, and the keys of one bucket per
+    group, are shuffled. ``df`` is read three times; write it first if it is costly to make.
+    ``key`` must identify a row: rows that repeat the ``k``-th row's key stay together with it. Rows
+    with a null key come in the order of their hash, before equal hashes. A null group is a group.
+    """
+    if k < 1:
+        return df.limit(0)
+    same = [F.col(f"here.{g}").eqNullSafe(F.col(f"cut.{g}")) for g in group]
+    hashed = _hashed(df.select(*dict.fromkeys([*group, key])), key, seed, GROUP_DIGITS)
+    sizes = hashed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # At most 4,096 rows per group, however many rows it has.
+    through = Window.partitionBy(*group).orderBy("_bucket")
+    before = F.sum("_n").over(through) - F.col("_n")
+    need = F.lit(k) - before
+    buckets = sizes.select(*group, "_bucket", "_n", need.alias("_need")).where("_need > 0 and _need <= _n")
+    cut = materialize(buckets.select(*group, "_bucket", "_need"), "cut-buckets")
+    few = cut.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    cut = F.broadcast(cut) if few else cut
+    inside = hashed.alias("here").join(cut.alias("cut"), [*same, F.expr("here._bucket = cut._bucket")])
+    keys = inside.select("here.*", "cut._need")
+    within = Window.partitionBy(*group, "_bucket").orderBy("_h", key)
+    last = keys.withColumn("_rn", F.row_number().over(within)).where("_rn = _need")
+    # One row per row of ``cut``: small if that is.
+    last = last.select(*group, F.col("_h").alias("_last"), F.col(key).alias("_last_key"))
+    last = F.broadcast(last) if few else last
+    rows = df.withColumn("_h", hash_order(F.col(key), seed)).alias("here").join(last.alias("cut"), [*same, F.lit(True)], "left")
+    value = F.col(f"here.{key}")
+    ahead = (F.col("_h") < F.col("_last")) | (value.isNull() | (value <= F.col("_last_key"))) & (F.col("_h") == F.col("_last"))
+    return rows.where(F.col("_last").isNull() | ahead).select([F.col(f"here.`{c}`") for c in df.columns])
 
 
 def _bucket_starts(hashed: DataFrame) -> DataFrame:
@@ -76,10 +108,8 @@ def _bucket_starts(hashed: DataFrame) -> DataFrame:
     )
 
 
-def _hashed(df: DataFrame, key: str, seed: int | str) -> DataFrame:
-    return df.withColumn("_h", hash_order(F.col(key), seed)).withColumn(
-        "_bucket", F.substring("_h", 1, BUCKET_DIGITS)
-    )
+def _hashed(df: DataFrame, key: str, seed: int | str, digits: int = BUCKET_DIGITS) -> DataFrame:
+    return df.withColumn("_h", hash_order(F.col(key), seed)).withColumn("_bucket", F.substring("_h", 1, digits))
 
 
 def shuffled_rank(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.functions.columns import composite_key, hash_order, join_tokens, mentions_any, word_count
-from corpusloom.operators.ranking import shuffle_cut, shuffled_head
+from corpusloom.operators.ranking import shuffle_cut, shuffled_head, top_k_per_group
+from corpusloom.session import materialize, small
 
 
 def eligible_venues(
@@ -64,14 +65,20 @@ def annotation_batch(
     """
     keyed = paragraphs.withColumn("corpusid_unique", composite_key(F.col("corpusid"), F.col("par_id")))
     matching = keyed.where(mentions_any(F.col("text"), keywords))
-    venues = eligible_venues(paragraphs, keywords, 2 * per_venue).select("venue")
-    pool = matching.join(venues, "venue", "left_semi")
+    # Everything up to the head is decided on keys; texts are fetched last, for the chosen rows only.
+    hits = materialize(matching.select("corpusid", "corpusid_unique", "venue"), "hits")
+    counted = hits.groupBy("venue").agg(F.count(F.lit(1)).alias("n"))
+    venues = counted.where(F.col("n") > 2 * per_venue).select("venue")
+    pool = hits.join(venues, "venue", "left_semi")
     sampled = sample_per_venue(
         pool, 2 * per_venue, "corpusid_unique", done, exclude_first=exclude_first, seed=f"{seed}|sample"
     )
-    joined = sampled.withColumn("text", join_tokens(F.col("text"))).withColumn("wc", word_count(F.col("text")))
-    head = shuffled_head(joined, ["venue"], "corpusid_unique", per_venue, seed)
-    return head.where((F.col("wc") > min_words) & (F.col("wc") < max_words)).select(
+    order = [hash_order(F.col("corpusid_unique"), seed), "corpusid_unique"]
+    head = top_k_per_group(sampled, ["venue"], order, per_venue)
+    chosen = small(materialize(head.select("venue", "corpusid_unique"), "chosen"))
+    rows = matching.join(chosen, ["venue", "corpusid_unique"], "left_semi")
+    joined = rows.withColumn("text", join_tokens(F.col("text"))).withColumn("wc", word_count(F.col("text")))
+    return joined.where((F.col("wc") > min_words) & (F.col("wc") < max_words)).select(
         "corpusid", "corpusid_unique", "venue", "par_id", "wc", "text"
     )
 

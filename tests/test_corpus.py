@@ -90,6 +90,36 @@ def test_paper_selection_and_coverage(spark):
     assert tuple(stats.venue_coverage(targets, got).first()) == (3, 2, 3)
 
 
+def test_paper_selection_is_the_same_on_both_sides_of_the_limit(spark, tmp_path):
+    name = F.concat(F.lit("v"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500))
+    rows = spark.range(6000).select(name.alias("venue"), F.col("id").alias("key"), F.lit("x").alias("_extra"))
+    rows.unionByName(spark.createDataFrame([(None, -1, "x"), ("", -2, "x")], rows.schema)).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    targets = spark.createDataFrame([("v0",), ("v7",), ("v7",), ("",), (None,), ("none such",)], "venue string")
+    expected = sorted([i for i in range(6000) if i % 3 == 0 or i % 500 in (0, 7)] + [-2])
+    for limit in (1 << 20, 0):
+        got = venues.in_venues(rows, targets, "key", limit)
+        assert got.columns == rows.columns
+        assert sorted(r.key for r in got.collect()) == expected
+    assert venues.in_venues(rows, targets.limit(0), "key", 0).count() == 0
+    assert venues.in_venues(rows.limit(0), targets, "key", 0).count() == 0
+
+
+def test_bit_table_keeps_all_rows_of_the_venues_and_few_others(spark):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("venue"))
+    names = rows.where("venue % 10 = 0")
+    left = {r.venue for r in venues._maybe_in(rows, venues._venue_bits(names)).collect()}
+    assert {str(i) for i in range(0, 20_000, 10)} <= left and len(left) < 2_010
+
+
+def test_papers_of_few_venues_are_not_shuffled(spark, tmp_path):
+    papers(spark).write.parquet(str(tmp_path / "p"))
+    got = venues.select_papers(spark.read.parquet(str(tmp_path / "p")), spark.createDataFrame([("A",)], "venue string"))
+    got.write.format("noop").mode("overwrite").save()
+    moved = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange " in line]
+    assert moved and all("BroadcastExchange" in line for line in moved)
+
+
 # ---- annotation rounds ----------------------------------------------------------------------
 def test_rounds_merge_to_common_labels(spark):
     text = spark.createDataFrame([("t", 1, "data availability statement"), ("t", 2, "not"), ("t", 3, "Yes"), ("t", 4, None)], "text string, corpusid bigint, sentiment string")

@@ -84,6 +84,58 @@ def test_top_k_with_a_hot_group(spark, k):
     assert sizes == {"hot": min(k, 3000), **{f"g{i}": min(k, 300) for i in range(5)}}
 
 
+def executed(df):
+    """Lines of the plan that ran, once it has."""
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("k", [10, 2000])
+def test_head_moves_no_rows(spark, k, tmp_path):
+    spark.range(6000).select("id", (F.col("id") % 2).alias("g"), F.repeat(F.lit("word "), 50).alias("text")).write.parquet(str(tmp_path / "t"))
+    head = ranking.shuffled_head(spark.read.parquet(str(tmp_path / "t")), ["g"], "id", k)
+    assert head.count() == 2 * k
+    plan = executed(head)
+    moved = [line for line in plan.splitlines() if "Exchange" in line or "SortMergeJoin" in line]
+    assert moved and all("BroadcastExchange" in line or "BroadcastQueryStage" in line for line in moved), plan
+
+
+def test_head_with_null_groups_few_rows_and_clashing_names(spark):
+    rows = [(i, None if i % 3 == 0 else "a", i * 2, "x") for i in range(30)] + [(100, "b", 1, None), (101, "", 2, "y")]
+    df = spark.createDataFrame(rows, "id bigint, g string, cut int, here string")
+    got = ranking.shuffled_head(df, ["g"], "id", 4)
+    assert got.columns == df.columns
+    kept = {}
+    for row in got.collect():
+        kept.setdefault(row.g, []).append(row.id)
+    expected = {None: [i for i in range(30) if i % 3 == 0], "a": [i for i in range(30) if i % 3], "b": [100], "": [101]}
+    assert {g: sorted(ids) for g, ids in kept.items()} == {g: sorted(sorted(ids, key=digest)[:4]) for g, ids in expected.items()}
+    assert ranking.shuffled_head(df, ["g"], "id", 0).count() == 0
+    assert ranking.shuffled_head(df.limit(0), ["g"], "id", 4).count() == 0
+    assert ranking.shuffled_head(df, [], "id", 5).count() == 5
+
+
+def test_head_keeps_rows_that_repeat_the_last_key_together(spark):
+    df = spark.createDataFrame([(i % 4, i) for i in range(40)], "id int, n int")
+    got = ranking.shuffled_head(df, [], "id", 15)
+    first = sorted(range(4), key=digest)[:2]
+    assert sorted(r.n for r in got.collect()) == [i for i in range(40) if i % 4 in first]
+
+
+def test_head_over_two_group_columns_does_not_depend_on_partitions(spark):
+    df = spark.range(900).select("id", (F.col("id") % 3).alias("a"), (F.col("id") % 2).alias("b"))
+    heads = [ranking.shuffled_head(df.repartition(n), ["a", "b"], "id", 20) for n in (1, 7)]
+    got = [sorted(r.id for r in head.collect()) for head in heads]
+    assert got[0] == got[1] and len(got[0]) == 120
+
+
+def test_slices_rank_as_one_group(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 10 == 0).alias("few"))
+    got = ranking.sliced_top_k(df, ["few"], [F.col("id").desc()], "id", 1200, slices=7)
+    expected = [i for i in range(4999, -1, -1) if i % 10][:1200] + list(range(0, 5000, 10))
+    assert sorted(r.id for r in got.collect()) == sorted(expected)
+
+
 def paragraphs(spark):
     """Venue big: 9 keyword rows; venue edge: exactly 4; venue odd: other tokens only."""
     rows = [(i, "big", 0, ["the", "data"] + ["w"] * (i + 1)) for i in range(9)]
@@ -144,3 +196,11 @@ def test_consensus_counts_an_annotator_once(spark):
     )
     got = {r["item"]: (r.n_annotators, r.score, r.clear, r.unanimous) for r in stats.consensus(votes, "item", "who", "vote").collect()}
     assert got == {"i": (2, 0.5, 0, 0), "j": (2, 1.0, 1, 1)}
+
+
+def test_batch_fetches_texts_last(spark, tmp_path):
+    paragraphs(spark).write.parquet(str(tmp_path / "p"))
+    batch = sampling.annotation_batch(spark.read.parquet(str(tmp_path / "p")), min_words=0, per_venue=2)
+    assert batch.count() == 2
+    exchanges = [line for line in executed(batch).splitlines() if "Exchange " in line]
+    assert exchanges and all("BroadcastExchange" in line for line in exchanges)
