@@ -41,9 +41,10 @@ class Ingested:
 
 
 def ingest_paragraphs(mapping: DataFrame, full_text: DataFrame, out: str) -> Ingested:
-    """Cut and store the paragraphs per venue; a re-run replaces a venue's rows."""
-    sinks.write_partitions(extract_paragraphs(mapping, full_text), out, "venue")
-    written = mapping.sparkSession.read.parquet(out)
+    """Cut and store the paragraphs per venue; a re-run replaces the rows of the mapping's venues, to none if none are left."""
+    made = extract_paragraphs(mapping, full_text)
+    sinks.write_partitions(made, out, "venue", covered=mapping.select("venue"))
+    written = mapping.sparkSession.read.schema(made.schema).parquet(out)
     return Ingested(written, extraction_counts(mapping, written))
 
 

@@ -14,6 +14,7 @@ from corpusloom.functions.columns import ratio, with_thousands
 from corpusloom.operators.assign import tasks_to_json
 from corpusloom.operators.chat import chat_text
 from corpusloom.operators.stats import value_counts
+from corpusloom.session import materialize, small
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -32,10 +33,59 @@ def replace_unless_empty(df: DataFrame, path: str) -> bool:
     return True
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: str = "venue") -> None:
-    """Write per partition value: values in ``df`` are replaced, others stay, so a re-run adds nothing twice."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition_by).parquet(path)
+def _sliced(df: DataFrame, counts: DataFrame, partition_by: str, rows_per_file: int) -> DataFrame:
+    """``df`` with the rows of a value moved together, in as many slices as its counted rows need."""
+    types = dict(df.dtypes)
+    row = [F.col(f"here.`{c}`") for c in df.columns if "map<" not in types[c]]
+    same = F.col(f"here.{partition_by}").eqNullSafe(F.col(f"sizes.{partition_by}"))
+    placed = df.alias("here").join(small(counts).alias("sizes"), same)
+    slices = F.ceil(F.col("sizes.n_rows") / rows_per_file)
+    salted = placed.select("here.*", F.pmod(F.xxhash64(*row), slices).alias("_slice"))
+    return salted.repartition(partition_by, "_slice").drop("_slice")
+
+
+def _clear(spark: SparkSession, path: str, schema: StructType, partition_by: str, values: DataFrame) -> None:
+    """Delete the folders of ``values``; their paths are at most one per value that has a folder."""
+    stored = spark.read.schema(schema).parquet(path)
+    same = F.col(f"stored.{partition_by}").eqNullSafe(F.col(f"gone.{partition_by}"))
+    files = stored.select(partition_by, F.col("_metadata.file_path").alias("file")).alias("stored")
+    gone = files.join(values.alias("gone"), same, "left_semi")
+    folders = gone.select(F.regexp_replace("file", "/[^/]*$", "").alias("folder")).distinct()
+    jvm = spark.sparkContext._jvm
+    for row in folders.collect():
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.folder))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_partitions(
+    df: DataFrame,
+    path: str,
+    partition_by: str = "venue",
+    covered: DataFrame | None = None,
+    rows_per_file: int = 1_000_000,
+) -> DataFrame:
+    """Write per partition value: values in ``df`` are replaced, others stay, so a re-run adds nothing twice.
+
+    ``covered`` lists all values this run answers for; those without a row now lose what they had.
+    There are at most as many files as values plus rows / ``rows_per_file``: values are counted, and
+    the rows of a large one are moved in slices. ``df`` is computed once, written to the shared
+    folder, then counted and moved. Returns the manifest: each value with its ``n_rows`` (0 where
+    it was cleared or never there). A null value is a value.
+    """
+    spark = df.sparkSession
+    rows = materialize(df, "partitions")
+    counts = materialize(rows.groupBy(partition_by).agg(F.count(F.lit(1)).alias("n_rows")), "partition-sizes")
+    writer = _sliced(rows, counts, partition_by, rows_per_file).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file).partitionBy(
+        partition_by
+    ).parquet(path)
+    if covered is None:
+        return counts
+    same = F.col(f"all.{partition_by}").eqNullSafe(F.col(f"now.{partition_by}"))
+    empty = covered.select(partition_by).distinct().alias("all").join(counts.alias("now"), same, "left_anti")
+    empty = materialize(empty, "cleared")
+    _clear(spark, path, rows.schema, partition_by, empty)
+    return counts.unionByName(empty.withColumn("n_rows", F.lit(0).cast("bigint")))
 
 
 def append_rows(df: DataFrame, path: str, partition_by: str = "venue") -> None:

@@ -216,6 +216,35 @@ def test_partition_writes_are_idempotent_and_append_is_not(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_partition_files_are_bounded_and_sliced(spark, tmp_path):
+    df = spark.range(0, 6000, 1, 16).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 7)).alias("venue"), "id"
+    )
+    path = tmp_path / "p"
+    manifest = sinks.write_partitions(df, str(path), rows_per_file=500)
+    assert {r.venue: r.n_rows for r in manifest.collect()} == {r["venue"]: r["count"] for r in df.groupBy("venue").count().collect()}
+    files = list(path.glob("venue=*/*.parquet"))
+    assert len(files) <= 8 + 6000 / 500 and len(list(path.glob("venue=hot/*.parquet"))) > 1
+    assert max(spark.read.parquet(str(f)).count() for f in files) <= 1000
+    assert spark.read.parquet(str(path)).select("id").distinct().count() == 6000
+
+
+def test_covered_values_without_rows_are_cleared(spark, tmp_path):
+    schema = "venue string, n int, _slice string, sizes map<string,int>"
+    rows = [("001", 1, "s", {"a": 1}), ("a b/c=%", 2, None, None), (None, 3, "s", {}), ("stay", 4, "s", None)]
+    path = str(tmp_path / "p")
+    assert sinks.write_partitions(spark.createDataFrame(rows, schema).drop("_slice"), path).count() == 4
+    covered = spark.createDataFrame([("001",), ("001",), ("a b/c=%",), (None,), ("never",)], "venue string")
+    again = spark.createDataFrame([("001", 9, "s", None)], schema).drop("_slice")
+    manifest = sinks.write_partitions(again, path, covered=covered)
+    assert {r.venue: r.n_rows for r in manifest.collect()} == {"001": 1, "a b/c=%": 0, None: 0, "never": 0}
+    stored = spark.read.schema(again.schema).parquet(path)
+    assert sorted((r.venue, r.n) for r in stored.collect()) == [("001", 9), ("stay", 4)]
+    nothing = sinks.write_partitions(again.limit(0), path, covered=covered)
+    assert {r.n_rows for r in nothing.collect()} == {0}
+    assert [r.venue for r in spark.read.schema(again.schema).parquet(path).collect()] == ["stay"]
+
+
 def test_empty_table_keeps_its_schema(spark, tmp_path):
     sinks.write_empty(spark, schemas.VENUE_RANKING, str(tmp_path / "e"))
     stored = spark.read.parquet(str(tmp_path / "e"))
