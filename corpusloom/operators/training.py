@@ -83,10 +83,10 @@ def fit_classifier(train: DataFrame, size: int = 1 << 14, max_iter: int = 20) ->
     return Pipeline(stages=[words, counts, weights, model]).fit(labelled)
 
 
-def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """Accuracy, precision, recall and F1 of the positive class, as one row from one pass."""
+def confusion(predicted: DataFrame) -> DataFrame:
+    """Accuracy, precision, recall and F1 of the positive class of ``prediction``, as one row from one pass."""
     truth, guess = F.col("sentiment_encoded"), F.col("prediction").cast("int")
-    counts = model.transform(test).agg(
+    counts = predicted.agg(
         F.count(F.lit(1)).alias("test_samples"),
         count_where((truth == 1) & (guess == 1)).alias("tp"),
         count_where((truth == 0) & (guess == 1)).alias("fp"),
@@ -107,6 +107,10 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     )
 
 
+def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
+    return confusion(model.transform(test))
+
+
 def train_and_evaluate(rows: DataFrame, path: str | None = None) -> Classifier:
     """Fit on the train split, measure on the test split, save the model when a path is given.
 

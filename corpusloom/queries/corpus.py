@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import rules
 from corpusloom.functions import columns as C
-from corpusloom.operators import combine, dedup, sampling, stats, training
+from corpusloom.operators import bayes, combine, dedup, sampling, stats, training
 from corpusloom.operators.ranking import keep_first
 from corpusloom.queries.registry import Tables, query
 from corpusloom.queries.shared import BINARY_SQL, COMBINED_SQL, UNIFIED_LIST, branches, labelled
@@ -278,3 +278,44 @@ def feature_join(t: Tables) -> DataFrame:
 def classifier(t: Tables) -> DataFrame:
     """Logistic regression on the train split, measured on the test split."""
     return training.train_and_evaluate(split_rows(t)).metrics
+
+
+_BAYES_SQL = f"""
+    with s as ({_SPLIT_SQL}),
+         w as (select doc_id, split, sentiment_encoded as y,
+                      unnest(regexp_extract_all(lower(text), '([\\p{{L}}\\p{{N}}_]+)', 1)) as word from s),
+         c as (select word, count(*) filter (where y = 1) as n1, count(*) filter (where y = 0) as n0
+               from w where split = 'train' group by word),
+         n as (select sum(n1) as t1, sum(n0) as t0, count(*) as v from c),
+         m as (select word, round(1e6::double * (ln((n1 + 1) / (t1 + v)) - ln((n0 + 1) / (t0 + v))))::bigint as weight from c, n),
+         p as (select round(1e6::double * ln((count(*) filter (where sentiment_encoded = 1) + 1)
+                      / (count(*) filter (where sentiment_encoded = 0) + 1)))::bigint as prior from s where split = 'train'),
+         t as (select doc_id, sum(weight)::bigint as total from w join m using (word) where split = 'test' group by doc_id)
+    select doc_id, sentiment_encoded, coalesce(total, 0) + prior as bayes_score,
+           cast(coalesce(total, 0) + prior > 0 as int) as prediction
+    from s left join t using (doc_id), p where split = 'test'
+"""
+
+
+@query("q_bayes", _BAYES_SQL)
+def bayes_scores(t: Tables) -> DataFrame:
+    """Naive Bayes fitted on the train split; scores of the test split."""
+    rows = split_rows(t).select("doc_id", "split", "sentiment_encoded", "text")
+    scored = bayes.score_bayes(rows.where("split = 'test'"), bayes.fit_bayes(rows.where("split = 'train'")), "doc_id")
+    return scored.select("doc_id", "sentiment_encoded", "bayes_score", "prediction")
+
+
+@query(
+    "q_bayes_metrics",
+    f"""
+    with c as (select count(*) as test_samples,
+                      count(*) filter (where sentiment_encoded = 1 and prediction = 1) as tp,
+                      count(*) filter (where sentiment_encoded = 0 and prediction = 1) as fp,
+                      count(*) filter (where sentiment_encoded = 1 and prediction = 0) as fn,
+                      count(*) filter (where sentiment_encoded = 0 and prediction = 0) as tn from ({_BAYES_SQL}))
+    select *, round((tp + tn) / test_samples, 3) as accuracy, round(tp / nullif(tp + fp, 0), 3) as "precision",
+           round(tp / nullif(tp + fn, 0), 3) as recall, round(2 * tp / nullif(2 * tp + fp + fn, 0), 3) as f1 from c
+    """,
+)
+def bayes_metrics(t: Tables) -> DataFrame:
+    return bayes.bayes_metrics(split_rows(t).select("doc_id", "split", "sentiment_encoded", "text"), "doc_id")

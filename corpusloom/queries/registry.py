@@ -12,7 +12,7 @@ from corpusloom.session import ship_package, spread
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("labels", "texts", "corpus", "annotation", "venues")
+_MODULES = ("labels", "texts", "corpus", "annotation", "venues", "files")
 
 
 class Tables:
