@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom import rules
 from corpusloom.functions.columns import composite_key, hash_order, join_tokens, mentions_any, word_count
 from corpusloom.operators.ranking import shuffle_cut, shuffled_head, top_k_per_group
+from corpusloom.operators.venues import in_venues
 from corpusloom.session import materialize, small
 
 
@@ -68,8 +69,7 @@ def annotation_batch(
     # Everything up to the head is decided on keys; texts are fetched last, for the chosen rows only.
     hits = materialize(matching.select("corpusid", "corpusid_unique", "venue"), "hits")
     counted = hits.groupBy("venue").agg(F.count(F.lit(1)).alias("n"))
-    venues = counted.where(F.col("n") > 2 * per_venue).select("venue")
-    pool = hits.join(venues, "venue", "left_semi")
+    pool = in_venues(hits, counted.where(F.col("n") > 2 * per_venue), "corpusid_unique")
     sampled = sample_per_venue(
         pool, 2 * per_venue, "corpusid_unique", done, exclude_first=exclude_first, seed=f"{seed}|sample"
     )
