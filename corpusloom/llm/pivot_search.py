@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import with_columns
 from corpusloom.session import materialize
 
 K = 10
@@ -115,6 +116,8 @@ def top_k(vectors: DataFrame, is_query: Column | None = None, id_col: str = "vec
     catalogue["blocks"] = -(-catalogue["n"] // BLOCK)
     table = spark.sparkContext.broadcast(catalogue)
     blocks = F.broadcast(spark.createDataFrame(catalogue[["pivot", "annulus", "blocks"]].astype("int64"), "pivot long, annulus long, blocks long"))
+    # Both sides of a cogroup need keys of one type: a number has another hash as int than as long.
+    placed = placed.withColumns({c: F.col(c).cast("long") for c in ("pivot", "annulus")})
     placed = placed.join(blocks, ["pivot", "annulus"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
     queries = ints.filter(is_query if is_query is not None else F.col("vec_id") % 100 == 0)
 
@@ -128,23 +131,30 @@ def top_k(vectors: DataFrame, is_query: Column | None = None, id_col: str = "vec
     def _lifted_query(rows: np.ndarray) -> np.ndarray:
         return np.hstack([rows.astype(float), np.zeros((len(rows), 1))])
 
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries with the annuli that each meets first, written because rounding can differ when bounds are computed again."""
+        n = table.value["n"].to_numpy()
+        for batch in batches:
+            early = []
+            for own in bounds(_matrix(batch.column("ints").to_pylist(), dim)) if batch.num_rows else ():
+                order = np.argsort(-own, kind="stable")
+                early.append(order[: np.searchsorted(np.cumsum(n[order]), k + 1) + 1].tolist())
+            yield with_columns(batch, early=pa.array(early, pa.list_(pa.int64())))
+
     def visits(first: bool):
         """For each query, the blocks it meets: the most promising annuli first, or all others that can still matter."""
 
         def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c = table.value
             for batch in batches:
-                rows = _matrix(batch.column("ints").to_pylist(), dim)
-                reach = bounds(rows) if len(rows) else np.empty((0, len(c)))
+                met = batch.column("early").to_pylist()
+                if not first and batch.num_rows:
+                    least = batch.column("least").to_pylist()
+                    reach = bounds(_matrix(batch.column("ints").to_pylist(), dim))
+                    met = [np.setdiff1d(np.flatnonzero(own >= (-np.inf if to is None else to)), had) for own, to, had in zip(reach, least, met)]
                 out: list[list] = [[], [], [], []]
-                for i, own in enumerate(reach):
-                    order = np.argsort(-own, kind="stable")
-                    enough = np.searchsorted(np.cumsum(c["n"].to_numpy()[order]), k + 1) + 1
-                    met = order[:enough] if first else order[enough:]
-                    if not first:
-                        least = batch.column("least")[i].as_py()
-                        met = met if least is None else met[own[met] >= least]
-                    for a in met:
+                for i, annuli in enumerate(met):
+                    for a in annuli:
                         for b in range(c["blocks"][a]):
                             for column, value in zip(out, (i, c["pivot"][a], c["annulus"][a], b)):
                                 column.append(value)
@@ -169,6 +179,7 @@ def top_k(vectors: DataFrame, is_query: Column | None = None, id_col: str = "vec
         sent = asked.mapInArrow(visits(first), "query_id long, ints array<long>, pivot long, annulus long, block long")
         return placed.select(*where, "vec_id", "ints").groupBy(*where).cogroup(sent.groupBy(*where)).applyInPandas(meet, schema)
 
+    queries = materialize(queries.mapInArrow(promising, "vec_id long, ints array<long>, early array<long>"), "queries")
     early = materialize(_top(met(queries, True), k), "early")
     least = early.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
     asked = queries.join(least.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")

@@ -181,3 +181,24 @@ def test_top_k_is_exact(spark):
         want += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
     assert got == want
     assert top_k(table.filter(F.lit(False))).count() == 0
+
+
+def test_top_k_meets_all_vectors_over_many_partitions(spark):
+    """Pivots and annuli of the two sides of a group go to the same partition; small partitions that are put together hide it."""
+    draw = random.Random(3)
+    rows = {i: [draw.gauss(0, 1) for _ in range(8)] for i in range(1000)}
+    merging, partitions = "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"
+    before = {name: spark.conf.get(name) for name in (merging, partitions)}
+    spark.conf.set(merging, "false")
+    spark.conf.set(partitions, "7")
+    try:
+        got = [tuple(r) for r in top_k(spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    fine = {i: [math.floor(1024 * x) for x in v] for i, v in rows.items()}
+    want = []
+    for q in range(0, 1000, 100):
+        scored = sorted((-sum(a * b for a, b in zip(fine[q], v)), i) for i, v in fine.items() if i != q)[:10]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+    assert got == want
