@@ -53,22 +53,27 @@ def lex(page: str) -> Iterator[Token]:
 
     A script or style without an end goes to the end of the page; other raw elements without one are empty.
     """
-    at = 0
+    at, size = 0, len(page)
+    search, unescape = _TAG.search, html.unescape
     unended: set[str] = set()  # searched to the end of the page once
-    while at < len(page):
-        tag = _TAG.search(page, at)
+    while at < size:
+        tag = search(page, at)
         if tag is None:
-            yield Token("text", html.unescape(page[at:]))
+            yield Token("text", unescape(page[at:]))
             return
-        if tag.start() > at:
-            yield Token("text", html.unescape(page[at : tag.start()]))
-        at = tag.end()
+        start, stop = tag.span()
+        if start > at:
+            yield Token("text", unescape(page[at:start]))
+        at = stop
         closing, name, given = tag.groups()
         if not name:
             continue
         name = name.lower()
-        yield Token("close" if closing else "open", name, given)
-        if name in RAW and not closing and not given.endswith("/"):
+        if closing:
+            yield Token("close", name)
+            continue
+        yield Token("open", name, given)
+        if name in RAW and not given.endswith("/"):
             end = _END_RAW[name].search(page, at) if name not in unended else None
             if end is None and name not in ("script", "style"):
                 unended.add(name)
@@ -95,20 +100,24 @@ def balanced(page: str) -> Iterator[Token]:
                 return
 
     for token in lex(page):
-        if token.kind == "text":
+        kind, name, given = token
+        if kind == "text":
             yield token
-        elif token.kind == "open":
-            if token.value in _END_P and "p" in stack:
+        elif kind == "open":
+            if name in _END_P and "p" in stack:
                 yield from end(("p",), _CONTAINERS)
-            if token.value in CLOSES:
-                yield from end(CLOSES[token.value], _CONTAINERS - {token.value})
+            if name in CLOSES:
+                yield from end(CLOSES[name], _CONTAINERS - {name})
             yield token
-            if token.value in VOID or token.value in _FOREIGN and token.attributes.endswith("/"):
-                yield Token("close", token.value)
+            if name in VOID or name in _FOREIGN and given.endswith("/"):
+                yield Token("close", name)
             else:
-                stack.append(token.value)
-        elif token.value in stack:
-            yield from end((token.value,), frozenset())
+                stack.append(name)
+        elif stack and stack[-1] == name:
+            stack.pop()
+            yield token
+        elif name in stack:
+            yield from end((name,), frozenset())
     while stack:
         yield Token("close", stack.pop())
 

@@ -144,48 +144,50 @@ def read_page(page: str) -> tuple[list, list[Block]]:
 
     def flush() -> None:
         nonlocal linked
-        if not run:
-            return
-        if text := " ".join("".join([part for part, _ in run]).split()):
-            nodes[-1][1].append(["#", []])
+        if len(run) == 1:  # most runs
+            part, inner = run[0]
+            kept = text = " ".join(part.split())
+        elif text := " ".join("".join([part for part, _ in run]).split()):
             inner = all(side for part, side in run if part.strip())
             mixed = not inner and any(side for _, side in run)
             kept = " ".join("".join([part for part, side in run if not side]).split()) if mixed else text
+        if text:
+            nodes[-1][1].append(["#", []])
             blocks.append(Block(path[-1], kept, min(linked, len(text)), inner, flags[-1]))
         run.clear()
         linked = 0
 
-    for token in balanced(page):
-        if token.kind == "text":
-            run.append((token.value, flags[-1].side))
+    for kind, value, source in balanced(page):
+        if kind == "text":
+            run.append((value, flags[-1].side))
             if flags[-1].link:
-                linked += len(token.value.strip())
+                linked += len(value.strip())
             continue
-        block = token.value in BLOCKS
-        if block:
+        block = value in BLOCKS
+        if block and run:
             flush()
-        if token.kind == "open":
-            given = attributes(token.attributes) if token.attributes else {}
-            names = " ".join(given.get(a, "") for a in ("class", "id", "role", "itemprop")) if given else ""
+        if kind == "open":
+            given = attributes(source) if source else {}
+            names = " ".join([given.get(a, "") for a in ("class", "id", "role", "itemprop")]) if given else ""
             words = _words(names) if names.strip() else set()
-            if not given and token.value not in _TELLING:
+            if not given and value not in _TELLING:
                 flags.append(flags[-1])
             else:
                 side, named, main, may, headed, link = flags[-1]
-                opens = token.value in ("article", "main") or "articlebody" in given.get("itemprop", "").lower().split()
+                opens = value in ("article", "main") or "articlebody" in given.get("itemprop", "").lower().split()
                 hides = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower()
-                side = side or hides or token.value in _SIDE_TAGS or token.value == "header" and not (main or may)
-                if words & _SIDE_WORDS and not opens and token.value not in ("html", "body") and _side_named(names):
+                side = side or hides or value in _SIDE_TAGS or value == "header" and not (main or may)
+                if words & _SIDE_WORDS and not opens and value not in ("html", "body") and _side_named(names):
                     # Text between blocks is left out of a block by its inline elements, so those say it at once.
-                    side, named = side or main or token.value not in BLOCKS, True
-                if "main" in words and not main and token.value not in ("html", "body"):
+                    side, named = side or main or not block, True
+                if "main" in words and not main and value not in ("html", "body"):
                     may = (*may, next(mains))
-                headed = headed or token.value == "header" and not main
-                flags.append(Flags(side, named, main or opens, may, headed, link or token.value == "a"))
-            if token.value in ("br", "img", "hr"):
+                headed = headed or value == "header" and not main
+                flags.append(Flags(side, named, main or opens, may, headed, link or value == "a"))
+            if value in ("br", "img", "hr"):
                 run.append((" ", flags[-1].side))
             if block:
-                label = token.value + "".join(f".{w}" for w in sorted(words))
+                label = value + "".join([f".{w}" for w in sorted(words)]) if words else value
                 node = [label, []]
                 nodes[-1][1].append(node)
                 nodes.append(node)
@@ -195,7 +197,8 @@ def read_page(page: str) -> tuple[list, list[Block]]:
             if block:
                 nodes.pop()
                 path.pop()
-    flush()
+    if run:
+        flush()
     _settle(blocks)
     return root, blocks
 
