@@ -70,32 +70,43 @@ class WordIds:
             starts, stops = [0, *(marks + 4).tolist()], [*marks.tolist(), len(raw)]
             yield from ((piece, raw[a:b]) for piece, a, b in zip(group, starts, stops, strict=True))
 
-    def learn(self, texts: list[bytes]) -> None:
+    def learn(self, texts: list[list[bytes]]) -> None:
         """Remember the words of the texts, of which there should be some MB at most: what is remembered is bounded before that."""
         self._words, self._pieces = _newer(self._words), _newer(self._pieces)
-        new = set()
-        for text in texts:
-            new.update(text.split())
-        parts, plain, whole = {}, set(), set()
+        new = set().union(*texts)
+        alone, parts, plain, whole = {}, {}, set(), set()
+        known = self._pieces
         for word in new.difference(self._words):
+            if word.isalpha():  # ASCII letters alone: one piece
+                piece = word.lower().decode()
+                alone[word] = piece
+                if piece not in known:
+                    plain.add(piece)
+                continue
             shown = word.decode()
             if _SIMPLE.fullmatch(shown) and "<|" not in shown:
-                parts[word] = _PIECES.findall(shown.lower())
-                plain.update(parts[word])
+                parts[word] = own = _PIECES.findall(shown.lower())
+                plain.update([p for p in own if p not in known])
             else:
                 parts[word] = [shown]
-                whole.add(shown)
+                if shown not in known:
+                    whole.add(shown)
         for pieces, joined in ((plain, True), (whole, False)):
-            self._pieces.update(self._encode([p for p in pieces if p not in self._pieces], joined))
+            known.update(self._encode(list(pieces), joined))
+        words = self._words
+        for word, piece in alone.items():
+            words[word] = known[piece]
         for word, own in parts.items():
-            self._words[word] = self._pieces[own[0]] if len(own) == 1 else b"".join([self._pieces[p] for p in own])
+            words[word] = known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own])
 
     def ids(self, text: bytes) -> bytes:
-        words = text.split()
+        return self.ids_of(text.split())
+
+    def ids_of(self, words: list[bytes]) -> bytes:
         try:
             return b"".join(map(self._words.__getitem__, words))
         except KeyError:
-            self.learn([text])
+            self.learn([words])
             return b"".join(map(self._words.__getitem__, words))
 
 
@@ -198,10 +209,10 @@ def pack(
         words, packer, number = word_ids(tokenizer), Packer(length, n_open), part << 32
         end = np.array([END_ID], "<u4").tobytes()
         for batch in in_parts(batches):
-            bodies = batch.column("body").to_pylist()
-            words.learn(bodies)
-            for doc, body in zip(batch.column("doc_id").to_pylist(), bodies):
-                ids = np.frombuffer(words.ids(body) + end, "<u4")
+            texts = [body.split() for body in batch.column("body").to_pylist()]
+            words.learn(texts)
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts):
+                ids = np.frombuffer(words.ids_of(text) + end, "<u4")
                 packer.put((doc, len(ids)), ids)
             yield as_batch([(*row, None, None) for row in _rows(packer.done, number)], schema)
             number += len(packer.done)
