@@ -37,6 +37,8 @@ _MEMBERS, _TURNS = 8, 2
 _BLOCK = 16384
 #: Tables of counts that are added in one group.
 _ADDED = 64
+#: Bits of the table of n-grams that documents share, and of one row of it (the size Spark's bitmap functions use).
+_MET_BITS, _WORD_BITS = 26, 32768
 #: Text, or sets, that a task works on at a time.
 PART_BYTES = 2 << 20
 
@@ -177,6 +179,23 @@ def _rare(docs: DataFrame, n: int, percent: int, ranks: Broadcast) -> DataFrame:
     return docs.mapInArrow(read, "token long, doc long")
 
 
+def _maybe_met(rare: DataFrame, met: DataFrame) -> DataFrame:
+    """The rows of ``rare`` whose n-gram may be in ``met``: a bit table of fixed size rules most others out before they are shuffled."""
+    bit = F.col("token").bitwiseAND((1 << _MET_BITS) - 1)
+    words = met.select(F.floor(bit / _WORD_BITS).cast("int").alias("word"), (bit % _WORD_BITS).alias("bit")).groupBy("word").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    table = np.zeros((1 << _MET_BITS) // 8, np.uint8)
+    for row in words.collect():  # at most the table's 8 MB whatever the input
+        table[row["word"] * _WORD_BITS // 8 : (row["word"] + 1) * _WORD_BITS // 8] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    shared = rare.sparkSession.sparkContext.broadcast(table)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("token").to_numpy() & ((1 << _MET_BITS) - 1)
+            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool)))
+
+    return rare.mapInArrow(keep, rare.schema)
+
+
 def _sets(docs: DataFrame, n: int, ranks: Broadcast) -> DataFrame:
     """``doc`` and its whole set in the global order, as bytes."""
     schema = pa.schema([("doc", pa.int64()), ("held", pa.binary())])
@@ -280,10 +299,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     rare = materialize(_rare(texts, n, percent, ranks), "rare")
     # Written, so that the join below is of two plain shuffles, whose large partitions can be split.
-    met = rare.groupBy("token").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"))
-    met = materialize(met.filter("leader <> last").select("token", "leader"), "met")
+    # Rows of one id count as several here: that costs rows, never results.
+    met = rare.groupBy("token").agg(F.min("doc").alias("leader"), F.count("*").alias("rows"))
+    met = materialize(met.filter("rows > 1").select("token", "leader"), "met")
     originals = first.join(known.groupBy("digest").agg(F.max("size").alias("size")), "digest").select(F.col("first").alias("doc"), "size")
-    shared = materialize(rare.join(met, "token").join(originals, "doc"), "shared")
+    shared = materialize(_maybe_met(rare, met).join(met, "token").join(originals, "doc"), "shared")
 
     # A first round that may miss links: it only saves the second one from comparing large groups of near copies.
     led = shared.filter("doc <> leader").groupBy(F.col("leader").alias("x"), F.col("doc").alias("y")).agg(F.count("*").alias("n"), F.max("size").alias("size"))

@@ -12,7 +12,7 @@ from corpusloom.llm import queries
 from corpusloom.llm.components import components
 from corpusloom.llm.decontamination import contamination
 from corpusloom.llm.line_dedup import dedup_lines
-from corpusloom.llm.ngram_join import in_parts, ngram_components
+from corpusloom.llm.ngram_join import _maybe_met, in_parts, ngram_components
 from corpusloom.llm.packing import WordIds, pack
 from corpusloom.llm.quality import fit_forest, score, statistics, train
 from corpusloom.llm.substring_dedup import remove_repeats
@@ -244,3 +244,11 @@ def test_digests_of_the_queries(spark):
     row = queries.op2_line_dedup(spark, "/root/testdata/sf0.001").filter("n_dropped = 0").first()
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter(F.col("doc_id") == row["doc_id"]).first()["text"]
     assert row["kept_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_ngrams_of_one_document_are_not_shuffled_again(spark):
+    rare = spark.createDataFrame([(t * 7_919_017 - 2**62, d) for t in range(3000) for d in range(1 + (t % 10 == 0))], "token long, doc long")
+    met = rare.groupBy("token").count().filter("count > 1").select("token")
+    kept = _maybe_met(rare, met)
+    assert kept.join(met, "token", "left_semi").count() == 600 and kept.count() < 800
+    assert _maybe_met(rare, met.limit(0)).count() == 0
