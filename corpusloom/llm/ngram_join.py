@@ -242,7 +242,30 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("doc_x", "doc").alias("x"), F.greatest("doc_x", "doc").alias("y")).distinct()
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, made: list[DataFrame], n: int, percent: int, ranks: Broadcast) -> DataFrame:
+def _own_sets(texts: DataFrame, repeated: DataFrame | None, n: int, ranks: Broadcast) -> DataFrame:
+    """``doc`` and its set. Rows with one id are one document; the largest set stands for it, as in its size.
+
+    Only the sets of ids that several rows have (``repeated``, none if there are none) are shuffled for that.
+    """
+    if repeated is None:
+        return _sets(texts, n, ranks)
+    largest = _sets(texts.join(repeated, "doc", "left_semi"), n, ranks).groupBy("doc").agg(F.max_by("held", F.length("held")).alias("held"))
+    return _sets(texts.join(repeated, "doc", "left_anti"), n, ranks).unionByName(largest)
+
+
+def _at_trees(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``x, doc, tree, held``: the y's of an x dealt to prefix trees of bounded size, and x itself to each of them.
+
+    While the places are few they are broadcast, so that the sets are shuffled once, to the trees.
+    """
+    n_trees = F.ceil(F.col("n") / TREE_SETS).cast("int")
+    counted = pairs.groupBy("x").agg(F.count("*").alias("n")).select("x", n_trees.alias("trees"))
+    stored = pairs.join(counted, "x").select("x", F.col("y").alias("doc"), F.pmod(F.xxhash64("y"), F.col("trees")).cast("int").alias("tree"))
+    probes = counted.select("x", F.col("x").alias("doc"), F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"))
+    return sets.join(small(materialize(stored.unionByName(probes), "places")), "doc").select("x", "doc", "tree", "held")
+
+
+def _verified(texts: DataFrame, repeated: DataFrame | None, pairs: DataFrame, made: list[DataFrame], n: int, percent: int, ranks: Broadcast) -> DataFrame:
     """The pairs (x, y) that are similar. The y's of an x go to prefix trees of bounded size, x walks each of them.
 
     ``made`` holds the tables of sets of the rounds before; this round adds one for documents that have none yet.
@@ -252,14 +275,8 @@ def _verified(texts: DataFrame, pairs: DataFrame, made: list[DataFrame], n: int,
     new = involved
     for table in made:
         new = new.join(table.select("doc"), "doc", "left_anti")
-    sets = _sets(texts.join(small(materialize(new, "new")), "doc", "left_semi"), n, ranks)
-    # Rows with one id are one document; the largest set stands for it, as in its size.
-    made.append(materialize(sets.groupBy("doc").agg(F.max_by("held", F.length("held")).alias("held")), "sets"))
+    made.append(materialize(_own_sets(texts.join(small(materialize(new, "new")), "doc", "left_semi"), repeated, n, ranks), "sets"))
     sets = reduce(DataFrame.unionByName, made).join(small(involved), "doc", "left_semi")
-    n_trees = F.ceil(F.col("n") / TREE_SETS).cast("int")
-    counted = pairs.groupBy("x").agg(F.count("*").alias("n")).select("x", n_trees.alias("trees"))
-    stored = pairs.join(counted, "x").select("x", F.col("y").alias("doc"), F.pmod(F.xxhash64("y"), F.col("trees")).cast("int").alias("tree"))
-    probes = counted.select("x", F.col("x").alias("doc"), F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"))
 
     def walk(rows: pa.Table) -> pa.Table:
         x, docs, held = rows["x"][0].as_py(), rows["doc"].to_pylist(), rows["held"].to_pylist()
@@ -269,7 +286,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, made: list[DataFrame], n: int,
         found = [docs[others[i]] for i, _ in tree.similar(np.frombuffer(held[at], np.uint64), percent)]
         return pa.table({"x": pa.array([x] * len(found), pa.int64()), "y": pa.array(found, pa.int64())})
 
-    return stored.unionByName(probes).join(sets, "doc").groupBy("x", "tree").applyInArrow(walk, "x long, y long")
+    return _at_trees(pairs, sets).groupBy("x", "tree").applyInArrow(walk, "x long, y long")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -296,6 +313,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ranks = spark.sparkContext.broadcast(_ranks(profiles))
     known = profiles.filter("block is null").select("doc", "size", "digest")
     first = known.filter("size > 0").groupBy("digest").agg(F.min("doc").alias("first"))
+    repeated = materialize(known.groupBy("doc").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc"), "repeated")
+    repeated = None if repeated.isEmpty() else small(repeated)
 
     rare = materialize(_rare(texts, n, percent, ranks), "rare")
     # Written, so that the join below is of two plain shuffles, whose large partitions can be split.
@@ -309,7 +328,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     led = shared.filter("doc <> leader").groupBy(F.col("leader").alias("x"), F.col("doc").alias("y")).agg(F.count("*").alias("n"), F.max("size").alias("size"))
     led = led.filter(_LED * F.col("n") >= F.col("size") - _least(F.col("size"), percent)).select("x", "y")
     made: list[DataFrame] = []
-    links = materialize(_verified(texts, led, made, n, percent, ranks), "links")
+    links = materialize(_verified(texts, repeated, led, made, n, percent, ranks), "links")
     label = components(links)
 
     placed = _labelled(shared.drop("leader"), label)
@@ -324,14 +343,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         members = [F.min_by(member, F.xxhash64("doc", F.lit(turn * _MEMBERS + i))) for i in range(_MEMBERS)]
         chosen = open_rows.filter("component = main").groupBy("token").agg(F.array_distinct(F.array(*members)).alias("members"))
         some = _outside(open_rows).join(chosen, "token").withColumn("member", F.explode("members")).select("*", "member.*").filter(_may(percent))
-        more = _verified(texts, _pairs(some).join(links, ["x", "y"], "left_anti"), made, n, percent, ranks)
+        more = _verified(texts, repeated, _pairs(some).join(links, ["x", "y"], "left_anti"), made, n, percent, ranks)
         links = materialize(links.unionByName(more), "links")
         label = components(links)
         open_rows = materialize(_mixed(_labelled(open_rows.drop("component", "main"), label)).drop("n"), "open")
 
     minor = _outside(open_rows)
     each = minor.join(open_rows, "token").filter(_may(percent) & ((F.col("component") == F.col("main")) | (F.col("doc_x") < F.col("doc"))))
-    rest = _verified(texts, _pairs(each).join(links, ["x", "y"], "left_anti"), made, n, percent, ranks)
+    rest = _verified(texts, repeated, _pairs(each).join(links, ["x", "y"], "left_anti"), made, n, percent, ranks)
     copies = known.join(first, "digest").filter("doc <> first").select(F.col("first").alias("x"), F.col("doc").alias("y"))
     final = components(links.unionByName(rest).unionByName(copies))
 

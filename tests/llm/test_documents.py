@@ -16,6 +16,7 @@ from corpusloom.llm.ngram_join import _maybe_met, in_parts, ngram_components
 from corpusloom.llm.packing import WordIds, pack
 from corpusloom.llm.quality import fit_forest, score, statistics, train
 from corpusloom.llm.substring_dedup import remove_repeats
+from corpusloom.session import materialize
 
 CLASH = ", doc long, body string, _doc string, line string, size int, token string, row string, n_words int, mark int"
 SCHEMA = "doc_id long, text string" + CLASH
@@ -252,3 +253,30 @@ def test_ngrams_of_one_document_are_not_shuffled_again(spark):
     kept = _maybe_met(rare, met)
     assert kept.join(met, "token", "left_semi").count() == 600 and kept.count() < 800
     assert _maybe_met(rare, met.limit(0)).count() == 0
+
+
+def test_sets_are_shuffled_only_to_their_trees(spark, monkeypatch):
+    plans = []
+
+    def written(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return materialize(df, name)
+
+    monkeypatch.setattr("corpusloom.llm.ngram_join.materialize", written)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = " ".join(f"t{i}" for i in range(40))
+        ngram_components(spark.createDataFrame([(i, f"{text} u{i}") for i in range(6)], "doc_id long, text string"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    sets, links = ([plan for name, plan in plans if name == wanted] for wanted in ("sets", "links"))
+    assert sets and not any("Exchange hashpartitioning(doc" in plan for plan in sets)
+    assert links and not any("SortMergeJoin" in plan and "held" in plan for plan in links)
+
+
+def test_the_largest_set_of_an_id_counts(spark):
+    text = " ".join(f"t{i}" for i in range(40))
+    rows = [(1, f"{text} a"), (1, "few"), (2, f"{text} b"), (2, text), (2, "x y z"), (3, f"{text} c"), (4, "x y z q")]
+    got = {r[0]: (r[1], r[2]) for r in ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (37, 1), 2: (37, 1), 3: (37, 1), 4: (1, 4)}
