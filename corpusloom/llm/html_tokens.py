@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 #: Elements without content.
@@ -88,6 +88,11 @@ def lex(page: str) -> Iterator[Token]:
 
 def balanced(page: str) -> Iterator[Token]:
     """The tokens of ``lex`` with every element opened and closed in order; elements left open end with their parent."""
+    return in_order(lex(page))
+
+
+def in_order(tokens: Iterable[Token]) -> Iterator[Token]:
+    """``balanced`` of a page whose tokens are known."""
     stack: list[str] = []
 
     def end(names: tuple[str, ...] | frozenset[str], stop: frozenset[str]) -> Iterator[Token]:
@@ -99,7 +104,7 @@ def balanced(page: str) -> Iterator[Token]:
             if stack[depth] in stop:
                 return
 
-    for token in lex(page):
+    for token in tokens:
         kind, name, given = token
         if kind == "text":
             yield token
@@ -124,6 +129,11 @@ def balanced(page: str) -> Iterator[Token]:
 
 def plain_text(page: str) -> str:
     """All text of the body, a line per block, white space inside a block as one space."""
+    return text_of(lex(page))
+
+
+def text_of(tokens: Iterable[Token]) -> str:
+    """``plain_text`` of a page whose tokens are known."""
     lines: list[str] = []
     run: list[str] = []
 
@@ -133,16 +143,15 @@ def plain_text(page: str) -> str:
         run.clear()
 
     hidden = 0
-    for token in balanced(page):
-        if token.kind == "text":
+    for kind, value, _ in in_order(tokens):
+        if kind == "text":
             if not hidden:
-                run.append(token.value)
-        else:
-            if token.value in BLOCKS:
-                flush()
-            elif token.value == "br" and token.kind == "open":
-                run.append(" ")
-            if token.value == "title":
-                hidden += 1 if token.kind == "open" else -1
+                run.append(value)
+        elif value in BLOCKS:
+            flush()
+            if value == "title":
+                hidden += 1 if kind == "open" else -1
+        elif value == "br" and kind == "open":
+            run.append(" ")
     flush()
     return "\n".join(lines)

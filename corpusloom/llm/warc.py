@@ -6,20 +6,21 @@ import base64
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import as_batch
-from corpusloom.llm.html_tokens import attributes, lex, plain_text
+from corpusloom.llm.html_tokens import Token, attributes, lex, text_of
 
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # names that are URLs, RFC 4122
 RECORD = "warc_type string, record_id string, refers_to string, target_uri string, date string, content_type string, headers map<string,string>, block binary"
 _FIELDS = {
     "WARC-Type": "warc_type", "WARC-Record-ID": "record_id", "WARC-Refers-To": "refers_to", "WARC-Target-URI": "target_uri", "WARC-Date": "date", "Content-Type": "content_type",
 }
+_LINKING = frozenset("a area link img script iframe source form".split())
 _SCHEMA = pa.schema(
     [(n, pa.string()) for n in ("warc_type", "record_id", "refers_to", "target_uri", "date", "content_type")] + [("headers", pa.map_(pa.string(), pa.string())), ("block", pa.binary())]
 )
@@ -63,14 +64,14 @@ def decode(payload: bytes, headers: dict[str, str]) -> str:
         return payload.decode("utf-8", "replace")
 
 
-def links(page: str) -> list[str]:
-    """Targets and places of the page's links, as ``url L tag/@attribute``, in order."""
+def links(tokens: Iterable[Token]) -> list[str]:
+    """Targets and places of the links of a page with these tokens, as ``url L tag/@attribute``, in order."""
     found = []
-    for token in lex(page):
-        if token.kind == "open" and token.value in ("a", "area", "link", "img", "script", "iframe", "source", "form"):
-            for name, value in attributes(token.attributes).items():
+    for kind, element, source in tokens:
+        if kind == "open" and element in _LINKING:
+            for name, value in attributes(source).items():
                 if name in ("href", "src", "action") and value.strip():
-                    found.append(f"{' '.join(value.split())} L {token.value}/@{name}")
+                    found.append(f"{' '.join(value.split())} L {element}/@{name}")
     return found
 
 
@@ -87,8 +88,9 @@ def page_responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", id_col:
             rows = []
             for number, uri, body in zip(*(batch.column(n).to_pylist() for n in ("id", "uri", "body"))):
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode()
-                own = record_id("response", str(number), uri, digest(body))
-                headers = [("WARC-Payload-Digest", digest(body)), ("WARC-Block-Digest", digest(head + body))]
+                payload = digest(body)
+                own = record_id("response", str(number), uri, payload)
+                headers = [("WARC-Payload-Digest", payload), ("WARC-Block-Digest", digest(head + body))]
                 rows.append((number, "response", own, None, uri, date, "application/http; msgtype=response", headers, head + body))
             yield as_batch(rows, schema)
 
@@ -120,16 +122,16 @@ def derive(responses: DataFrame, id_col: str | None = None) -> DataFrame:
                     continue
                 source, uri = source or "", uri or ""
                 status, headers, payload = split_response(block or b"")
-                page = decode(payload, headers)
-                text = plain_text(page).encode()
-                known = dict(given or ())
+                tokens = list(lex(decode(payload, headers)))
+                text = text_of(tokens).encode()
+                known, own = dict(given or ()), digest(payload)
                 lines = [f"http-status: {status}"] + [f"http-header-{n}: {v}" for n, v in headers.items()]
                 lines += [f"source-{n.lower()}: {v}" for n, v in known.items() if n.endswith("-Digest")]
-                lines += [f"computed-payload-digest: {digest(payload)}", f"conversion: {record_id('conversion', source)}"]
-                lines += [f"outlink: {link}" for link in links(page)]
+                lines += [f"computed-payload-digest: {own}", f"conversion: {record_id('conversion', source)}"]
+                lines += [f"outlink: {link}" for link in links(tokens)]
                 described = "".join(f"{line}\r\n" for line in lines).encode()
                 for made, content, body in (("metadata", "application/warc-fields", described), ("conversion", "text/plain; charset=utf-8", text)):
-                    extra = [("WARC-Block-Digest", digest(body)), ("WARC-Source-Payload-Digest", known.get("WARC-Payload-Digest") or digest(payload))]
+                    extra = [("WARC-Block-Digest", digest(body)), ("WARC-Source-Payload-Digest", known.get("WARC-Payload-Digest") or own)]
                     rows.append((number, made, record_id(made, source), source, uri, date, content, extra, body))
             yield as_batch(rows, schema)
 

@@ -4,10 +4,11 @@ import json
 import math
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusloom.llm.chat_snapshots import _marked, maximal_chats, numbered_prefixes
-from corpusloom.llm.html_tokens import plain_text
+from corpusloom.llm.html_tokens import lex, plain_text
 from corpusloom.llm.pivot_search import top_k
 from corpusloom.llm.warc import derive, digest, from_bytes, page_responses, to_bytes
 from corpusloom.llm.wrappers import Site, compiled, expression, extract, main_text, read_page, slots_of
@@ -202,3 +203,20 @@ def test_top_k_meets_all_vectors_over_many_partitions(spark):
         scored = sorted((-sum(a * b for a, b in zip(fine[q], v)), i) for i, v in fine.items() if i != q)[:10]
         want += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
     assert got == want
+
+
+def test_a_page_is_read_into_tokens_once(spark, monkeypatch):
+    read = []
+
+    class Rows:
+        def mapInArrow(self, build, schema):
+            fields = {"page_id": 1, "warc_type": "response", "record_id": "r", "target_uri": "u", "date": "d", "headers": None, "block": PAGE.encode()}
+            return [r for batch in build(iter([pa.RecordBatch.from_pylist([fields])])) for r in batch.to_pylist()]
+
+        def select(self, *columns):
+            return self
+
+    for module in ("warc", "html_tokens"):
+        monkeypatch.setattr(f"corpusloom.llm.{module}.lex", lambda page: read.append(page) or lex(page))
+    made = {r["warc_type"]: r["block"].decode() for r in derive(Rows())}
+    assert len(read) == 1 and made["conversion"] == plain_text(PAGE) and "outlink: /a L a/@href" in made["metadata"]
