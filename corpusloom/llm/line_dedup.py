@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from xxhash import xxh3_128_digest
 
 from corpusloom.llm.common import as_batch, fresh, id_key, keyed_texts, with_columns
+from corpusloom.llm.ngram_join import in_parts
 from corpusloom.session import materialize
 
 MIN_CHARS = 20
@@ -43,7 +44,7 @@ def dedup_lines(
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("line", pa.binary()), ("doc", pa.int64())])
-        for batch in batches:
+        for batch in in_parts(batches):
             found = []
             for doc, body in zip(batch.column("doc").to_pylist(), batch.column("body").to_pylist()):
                 own = {line_key(line, min_chars) for line in body.split(b"\n")}
@@ -68,7 +69,7 @@ def dedup_lines(
     )
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, text_col):
             texts, n_lines, n_dropped = [], [], []
             for text, gone in zip(batch.column(text_col).to_pylist(), batch.column(lost).to_pylist()):
                 parts = (text or "").encode().split(b"\n")

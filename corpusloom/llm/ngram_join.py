@@ -109,7 +109,7 @@ def in_parts(batches: Iterator[pa.RecordBatch], column: str = "body") -> Iterato
     """Slices of batches, of one row or of at most ``PART_BYTES`` in ``column``: sets take more room than texts."""
     for batch in batches:
         start, held = 0, 0
-        sizes = pc.binary_length(batch.column(column)).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         for i, size in enumerate(sizes):
             if held and held + size > PART_BYTES:
                 yield batch.slice(start, i - start)

@@ -6,7 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -25,7 +25,7 @@ OPEN_WINDOWS = 16
 END_ID = 1
 #: Partitions whose leftovers meet in one task.
 MERGED_PARTITIONS = 64
-#: Words, and pieces of words, whose ids a worker process remembers.
+#: Words, and pieces of words, whose ids a worker process remembers while it packs.
 REMEMBERED = 500_000
 #: Pieces of words that the tokenizer gets as one text.
 JOINED = 256
@@ -115,10 +115,19 @@ def _newer(known: dict) -> dict:
     return known if len(known) <= REMEMBERED else dict(islice(known.items(), len(known) // 2, None))
 
 
-@cache
-def word_ids(path: str) -> WordIds:
-    """The tokenizer of a worker process: tasks that follow each other in it share what it remembers."""
-    return WordIds(path)
+class Remembered:
+    """The tokenizer of a worker process, made where it is first asked for.
+
+    A broadcast holds it: tasks of one call that follow each other in a worker share what it remembers, and Spark
+    takes it from the worker before a task of other work runs there, which then has that memory.
+    """
+
+    def __init__(self, path: str) -> None:
+        self._path = path
+
+    @cached_property
+    def words(self) -> WordIds:
+        return WordIds(self._path)
 
 
 class Packer:
@@ -203,10 +212,11 @@ def pack(
     schema = pa.schema(
         [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [("part", pa.int64()), ("ids", pa.binary())]
     )
+    remembered = docs.sparkSession.sparkContext.broadcast(Remembered(tokenizer))
 
     def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        words, packer, number = word_ids(tokenizer), Packer(length, n_open), part << 32
+        words, packer, number = remembered.value.words, Packer(length, n_open), part << 32
         end = np.array([END_ID], "<u4").tobytes()
         for batch in in_parts(batches):
             texts = [body.split() for body in batch.column("body").to_pylist()]

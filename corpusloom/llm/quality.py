@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from corpusloom.llm.common import with_columns
+from corpusloom.llm.ngram_join import in_parts
 
 #: Labelled documents a model is fitted on at most.
 TRAINING_ROWS = 20_000
@@ -126,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), body.alias("body")).join(sample, "doc")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             made = [statistics(b) for b in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("label"), pa.array(made, pa.list_(pa.float64()))], names=["doc", "label", "stats"])
 
@@ -146,9 +147,8 @@ def score(docs: DataFrame, forest: Forest, text_col: str = "text", out: str = "s
     kept = docs.drop(out)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                rows = np.stack([statistics(t.encode() if isinstance(t, str) else t or b"") for t in batch.column(text_col).to_pylist()])
-                yield with_columns(batch, **{out: pa.array(model.value.predict(rows))})
+        for batch in in_parts(batches, text_col):
+            rows = np.stack([statistics(t.encode() if isinstance(t, str) else t or b"") for t in batch.column(text_col).to_pylist()])
+            yield with_columns(batch, **{out: pa.array(model.value.predict(rows))})
 
     return kept.mapInArrow(add, StructType([*kept.schema.fields, StructField(out, DoubleType())]))

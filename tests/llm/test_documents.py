@@ -70,6 +70,12 @@ def ascii_lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
 
+def test_parts_of_batches_hold_rows_without_text():
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([None, "é" * (3 << 20), None, "a", None])})
+    parts = [p.column("text").to_pylist() for p in in_parts(iter([batch, batch.slice(0, 1)]), "text")]
+    assert [len(p) for p in parts] == [2, 3, 1] and [t for p in parts for t in p] == [*batch.column("text").to_pylist(), None]
+
+
 def test_line_dedup(docs, no_docs):
     made = dedup_lines(docs)
     assert [c for c in made.columns if c not in ("n_lines", "n_dropped")] == docs.columns
@@ -221,6 +227,19 @@ def test_packing(docs, no_docs):
     assert pack(no_docs, queries.tokenizer_path()).count() == 0
 
 
+def test_workers_forget_words_when_other_work_comes(spark, docs):
+    def held(batches):
+        import gc
+
+        for _ in batches:
+            gc.collect()
+            yield pa.RecordBatch.from_pydict({"n": [sum(type(o).__name__ == "WordIds" for o in gc.get_objects())]})
+
+    assert pack(docs, queries.tokenizer_path()).count() > 0
+    rows = spark.range(0, 16, 1, 16).mapInArrow(held, "n long").collect()
+    assert [r["n"] for r in rows] == [0] * 16
+
+
 def test_quality_learns_and_scores_every_row(spark, docs, no_docs):
     draw = random.Random(5)
     good = [(i, " ".join(draw.choice(["the", "tree", "grows", "slowly."]) for _ in range(50))) for i in range(150)]
