@@ -105,18 +105,20 @@ class PrefixTree:
                 yield number, int(counts[depth])
 
 
-def in_parts(batches: Iterator[pa.RecordBatch], column: str = "body") -> Iterator[pa.RecordBatch]:
-    """Slices of batches, of one row or of at most ``PART_BYTES`` in ``column``: sets take more room than texts."""
+def in_parts(batches: Iterator[pa.RecordBatch], column: str = "body", most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of batches, of one row or of at most ``most`` bytes (``PART_BYTES``) in ``column``: sets take more room than texts."""
+    most = PART_BYTES if most is None else most
     for batch in batches:
         start, held = 0, 0
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         for i, size in enumerate(sizes):
-            if held and held + size > PART_BYTES:
+            if held and held + size > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+        del batch  # before the next one is read
 
 
 def _profiles(docs: DataFrame, n: int) -> DataFrame:

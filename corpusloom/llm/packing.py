@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Collection, Iterator
 from functools import cached_property
 from itertools import islice
+from string import ascii_lowercase, punctuation
 
 import numpy as np
 import pandas as pd
@@ -25,18 +27,48 @@ OPEN_WINDOWS = 16
 END_ID = 1
 #: Partitions whose leftovers meet in one task.
 MERGED_PARTITIONS = 64
-#: Words, and pieces of words, whose ids a worker process remembers while it packs.
+#: Words, and pieces of words, whose ids a worker process remembers while it packs, if the caller sets no other number.
 REMEMBERED = 500_000
-#: Pieces of words that the tokenizer gets as one text.
-JOINED = 256
-_MARK = "0"
+#: Text that a task cuts into words at a time.
+PART_BYTES = 1 << 19
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LOWER = ascii_lowercase + "".join(chr(c) for c in range(ord("ß"), 256) if chr(c).isalpha())
 _SIMPLE = re.compile(rf"[{_LETTERS}!-&(-/:-@\[-`{{-~]+")
 _PIECES = re.compile(rf"[{_LETTERS}]+|[^{_LETTERS}]+")
+_SIGNS = punctuation.replace("'", "").encode()
+
+
+class _Pieces(dict):
+    """Token ids of pieces of plain letters, or of signs, made where one is first asked for."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        cut = self._tokenizer.pre_tokenizer
+        self._letters = {ord(c): cut.pre_tokenize_str(c)[0][0] for c in _LOWER} if cut else {}
+        self._direct = self._encoded(_LOWER) == self._by_model(_LOWER)
+
+    def _encoded(self, piece: str) -> bytes:
+        return np.array(self._tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _by_model(self, piece: str) -> bytes:
+        return array("I", [token.id for token in self._model.tokenize(piece if piece.isascii() else piece.translate(self._letters))]).tobytes()
+
+    def whole(self, word: str) -> bytes:
+        """The ids of a word that is not of plain letters and signs."""
+        made = self[word] = self._encoded(word)
+        return made
+
+    def __missing__(self, piece: str) -> bytes:
+        made = self[piece] = self._by_model(piece) if self._direct and piece.isalpha() else self._encoded(piece)
+        return made
 
 
 class WordIds:
@@ -47,57 +79,38 @@ class WordIds:
     other signs, so words of plain letters and signs are put together from their pieces, of which there are
     fewer. Digits, apostrophes, special tokens and everything beyond Latin-1 letters go to the tokenizer whole.
 
-    New pieces are encoded many at a time as one text, with ``_MARK`` between them: a digit is a token of its own
-    and no piece of letters or signs holds one.
+    Pieces of letters go to the tokenizer's model itself, which takes less time, if the tokenizer hands it the text of
+    all letters whole, each as it is written alone.
     """
 
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._mark = self._tokenizer.encode(_MARK, add_special_tokens=False).ids
+    def __init__(self, path: str, most: int = REMEMBERED) -> None:
+        self._most = most
         self._words: dict[bytes, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str], joined: bool) -> Iterator[tuple[str, bytes]]:
-        step = JOINED if joined and len(self._mark) == 1 else 1
-        groups = [pieces[i : i + step] for i in range(0, len(pieces), step)]
-        for group, made in zip(groups, self._tokenizer.encode_batch_fast([_MARK.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(made.ids, "<u4")
-            raw = ids.tobytes()
-            marks = 4 * np.flatnonzero(ids == self._mark[0]) if step > 1 else ids[:0]
-            starts, stops = [0, *(marks + 4).tolist()], [*marks.tolist(), len(raw)]
-            yield from ((piece, raw[a:b]) for piece, a, b in zip(group, starts, stops, strict=True))
+        self._pieces = _Pieces(path)
 
     def learn(self, texts: list[list[bytes]]) -> None:
         """Remember the words of the texts, of which there should be some MB at most: what is remembered is bounded before that."""
-        self._words, self._pieces = _newer(self._words), _newer(self._pieces)
-        new = set().union(*texts)
-        alone, parts, plain, whole = {}, {}, set(), set()
-        known = self._pieces
-        for word in new.difference(self._words):
+        words, pieces = self._words, self._pieces
+        used = set().union(*texts)
+        new = used.difference(words)
+        if len(words) > self._most:
+            _forget(words, self._most * 3 // 4, used - new)
+        if len(pieces) > self._most:
+            _forget(pieces, self._most * 3 // 4)
+        for word in new:
             if word.isalpha():  # ASCII letters alone: one piece
-                piece = word.lower().decode()
-                alone[word] = piece
-                if piece not in known:
-                    plain.add(piece)
+                words[word] = pieces[word.lower().decode()]
+                continue
+            core = word.rstrip(_SIGNS)
+            if core.isalpha() and b"<|" not in word:
+                words[word] = pieces[core.lower().decode()] + pieces[word[len(core) :].decode()]
                 continue
             shown = word.decode()
             if _SIMPLE.fullmatch(shown) and "<|" not in shown:
-                parts[word] = own = _PIECES.findall(shown.lower())
-                plain.update([p for p in own if p not in known])
+                own = _PIECES.findall(shown.lower())
+                words[word] = pieces[own[0]] if len(own) == 1 else b"".join([pieces[p] for p in own])
             else:
-                parts[word] = [shown]
-                if shown not in known:
-                    whole.add(shown)
-        for pieces, joined in ((plain, True), (whole, False)):
-            known.update(self._encode(list(pieces), joined))
-        words = self._words
-        for word, piece in alone.items():
-            words[word] = known[piece]
-        for word, own in parts.items():
-            words[word] = known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own])
+                words[word] = pieces.get(shown) or pieces.whole(shown)
 
     def ids(self, text: bytes) -> bytes:
         return self.ids_of(text.split())
@@ -110,9 +123,12 @@ class WordIds:
             return b"".join(map(self._words.__getitem__, words))
 
 
-def _newer(known: dict) -> dict:
-    """What is remembered, without its older half if that is too much."""
-    return known if len(known) <= REMEMBERED else dict(islice(known.items(), len(known) // 2, None))
+def _forget(known: dict, left: int, used: Collection = ()) -> None:
+    """Forget what was learned first until ``left`` are left, but nothing of ``used``."""
+    for key in used:
+        known[key] = known.pop(key)
+    for key in list(islice(known, max(0, len(known) - max(left, len(used))))):
+        del known[key]
 
 
 class Remembered:
@@ -122,12 +138,12 @@ class Remembered:
     takes it from the worker before a task of other work runs there, which then has that memory.
     """
 
-    def __init__(self, path: str) -> None:
-        self._path = path
+    def __init__(self, path: str, most: int) -> None:
+        self._path, self._most = path, most
 
     @cached_property
     def words(self) -> WordIds:
-        return WordIds(self._path)
+        return WordIds(self._path, self._most)
 
 
 class Packer:
@@ -195,7 +211,8 @@ def _cut_to_powers(window: list) -> list[list]:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, n_open: int = OPEN_WINDOWS
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, n_open: int = OPEN_WINDOWS,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece of a document: its place in the document and in its sequence.
 
@@ -208,17 +225,20 @@ def pack(
     The first pass is written once; a task that is run again reads the same split and makes the same
     windows. A null or empty text has the end id alone. Repeated rows are packed once each. A null
     id stays null. An empty table gives no rows. Extra columns are not read.
+
+    ``remembered`` words, and as many pieces of words, are held by each worker process: fewer take less memory and more
+    time, and give the same rows.
     """
     schema = pa.schema(
         [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [("part", pa.int64()), ("ids", pa.binary())]
     )
-    remembered = docs.sparkSession.sparkContext.broadcast(Remembered(tokenizer))
+    held_words = docs.sparkSession.sparkContext.broadcast(Remembered(tokenizer, remembered))
 
     def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        words, packer, number = remembered.value.words, Packer(length, n_open), part << 32
+        words, packer, number = held_words.value.words, Packer(length, n_open), part << 32
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in in_parts(batches):
+        for batch in in_parts(batches, most=PART_BYTES):
             texts = [body.split() for body in batch.column("body").to_pylist()]
             words.learn(texts)
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts):
@@ -227,6 +247,7 @@ def pack(
             yield as_batch([(*row, None, None) for row in _rows(packer.done, number)], schema)
             number += len(packer.done)
             packer.done = []
+            del batch, texts, text, ids  # before the next ones are made
         held = [[(doc, ids, start) for doc, ids, start in pieces] for _, pieces in packer.open]
         rows = zip(_rows(held, number), (ids.tobytes() for pieces in held for _, ids, _ in pieces))
         yield as_batch([(*row, part, ids) for row, ids in rows], schema)

@@ -227,6 +227,17 @@ def test_packing(docs, no_docs):
     assert pack(no_docs, queries.tokenizer_path()).count() == 0
 
 
+def test_words_beyond_a_number_are_forgotten_and_packed_the_same(docs):
+    few, all_of_them, draw = WordIds(queries.tokenizer_path(), 50), WordIds(queries.tokenizer_path()), random.Random(2)
+    for _ in range(60):
+        text = " ".join("".join(draw.choices("abcdéß.,'7", k=draw.randint(1, 8))) for _ in range(40)).encode()
+        assert few.ids(text) == all_of_them.ids(text)
+        assert len(few._words) <= 50 + 40 and len(few._pieces) <= 50 + 40 * 8
+    assert len(all_of_them._words) > 1000
+    packed = [sorted(map(str, pack(docs, queries.tokenizer_path(), **kw).collect())) for kw in ({}, {"remembered": 3})]
+    assert packed[0] == packed[1]
+
+
 def test_workers_forget_words_when_other_work_comes(spark, docs):
     def held(batches):
         import gc
